@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: dict[str, str] = {}
+
 
 def local_session(cores: int | str = 8, name: str = "tallyloom") -> SparkSession:
     """A local session with the settings every operator assumes (UTC, AQE, few shuffle partitions)."""
@@ -38,3 +44,19 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python stages can import it there."""
+    sc = spark.sparkContext
+    if _SHIPPED.get("app") == sc.applicationId:
+        return
+    home = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="tallyloom-")  # the driver serves the archive from here as long as it runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "tallyloom.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, p.relative_to(home.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED["app"] = sc.applicationId
