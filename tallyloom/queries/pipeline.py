@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import address, sql_strip
 from tallyloom.operators import features, heavykeys, instants, nested, references
+from tallyloom.queries.views import plain, plain_sql
 from tallyloom.session import table
 
 #: Candidate offset histories of feeds that do not name their zone.
@@ -70,7 +71,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_features(spark: SparkSession, d: str) -> DataFrame:
     wide = features.wide_features(_vectors(spark, d), ("like", "recast", "reply", "mention"))
-    return wide.withColumnRenamed("entity", "engager_fid")
+    return plain(wide.withColumnRenamed("entity", "engager_fid"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -122,11 +123,14 @@ SQL = {
         p AS (SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE]) AS prob)
         SELECT token_address, prob, n_rows, v AS quantile FROM n, p WHERE i = greatest(1, ceil(prob * n_rows))""",
     "p6_found": _P6 + "SELECT engager_fid, engagement, count(*) AS n_events FROM e GROUP BY ALL",
-    "p6_features": _P6
+    "p6_features": plain_sql(
+        _P6
     + "SELECT engager_fid, "
     + ", ".join(
         f"count(*) FILTER (engagement = '{k}') AS n_{k}, coalesce(round(CAST(sum(CAST(coalesce(w, 0) AS DECIMAL(30,6))) FILTER (engagement = '{k}') AS DOUBLE), 6), 0) AS total_{k}, max(last_at) FILTER (engagement = '{k}') AS latest_{k}"
         for k in ("like", "recast", "reply", "mention")
     )
     + " FROM e GROUP BY engager_fid",
+        tuple(f"latest_{k}" for k in ("like", "recast", "reply", "mention")),
+    ),
 }
