@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions.stages import settled
 from tallyloom.functions.text import address, blank_to_null, whole
 
 #: How many layers of JSON text inside JSON text are unfolded.
@@ -42,10 +43,10 @@ def elements(v: Column) -> Column:
 
 def opened(df: DataFrame, text: str) -> DataFrame:
     """Add ``tops``: the payload as an array of struct(pos, v), with every layer of JSON text unfolded."""
-    df = df.withColumn("top", parse(F.col(text)))
+    df = settled(df, {"top": parse(F.col(text))})
     for _ in range(LAYERS):
-        df = df.withColumn("top", unfold(F.col("top")))
-    return df.withColumn("tops", elements(F.col("top"))).drop("top")
+        df = settled(df, {"top": unfold(F.col("top"))})
+    return settled(df, {"tops": elements(F.col("top"))}).drop("top")
 
 
 def below(df: DataFrame, outer: str) -> DataFrame:
@@ -54,8 +55,10 @@ def below(df: DataFrame, outer: str) -> DataFrame:
     ``pos`` is the position in an array under ``outer``, ``up`` that of the ancestor and ``single`` tells that no
     array stood there.
     """
-    held = F.transform("tops", lambda t: F.struct(t["pos"].alias("up"), unfold(child(t["v"], outer)).alias("v")))
-    df = df.withColumn("held", held).withColumn("held", F.transform("held", lambda t: F.struct(t["up"].alias("up"), unfold(t["v"]).alias("v"))))
+    held = F.transform("tops", lambda t: F.struct(t["pos"].alias("up"), child(t["v"], outer).alias("v")))
+    df = settled(df, {"held": held})
+    for _ in range(LAYERS - 1):
+        df = settled(df, {"held": F.transform("held", lambda t: F.struct(t["up"].alias("up"), unfold(t["v"]).alias("v")))})
     spread = F.transform(
         "held",
         lambda t: F.transform(
@@ -63,7 +66,7 @@ def below(df: DataFrame, outer: str) -> DataFrame:
             lambda e: F.struct(e["pos"].alias("pos"), t["up"].alias("up"), (~F.startswith(F.schema_of_variant(t["v"]), F.lit("ARRAY"))).alias("single"), e["v"].alias("v")),
         ),
     )
-    return df.withColumn("tops", F.flatten(F.filter(spread, lambda a: a.isNotNull()))).drop("held")
+    return settled(df, {"tops": F.flatten(F.filter(spread, lambda a: a.isNotNull()))}).drop("held")
 
 
 def child(v: Column, name: str) -> Column:
@@ -111,6 +114,7 @@ def rows_of(rows: DataFrame, table: str, path: str, values: Column) -> DataFrame
     Records are unique by id, so repeats are removed inside the record's array and nothing is shuffled. Null or
     broken payloads, absent members and unusable values give no row.
     """
-    kept = rows.select("record_id", F.array_distinct(F.filter(values, lambda x: x["value"].isNotNull())).alias("items"))
+    kept = settled(rows.select("record_id", "tops"), {"items": values})
+    kept = kept.select("record_id", F.array_distinct(F.filter("items", lambda x: x["value"].isNotNull())).alias("items"))
     flat = kept.select("record_id", F.inline("items"))
     return flat.select(F.lit(table).alias("raw_table"), "record_id", F.col("item_no").cast("bigint").alias("item_no"), F.lit(path).alias("path"), "value")
