@@ -98,10 +98,10 @@ def read_instants(df: DataFrame, text: str) -> DataFrame:
     return df.drop("t_text", "t_parts", "t_month", "t_hour", "t_minute", "t_second", "t_micros", "t_zone", "t_digits", "t_number")
 
 
-def zoned_us(wall_us: Column, zone: Column) -> Column:
+def zoned_us(wall_us: Column, zone: Column | str) -> Column:
     """The instant of a wall time in a named zone; null where the zone has that time twice or never, or is unknown."""
     wall = F.timestamp_micros(wall_us)
-    known = F.when(zone.isin(*sorted(NAMED)), zone)
+    known = F.lit(zone) if isinstance(zone, str) else F.when(zone.isin(*sorted(NAMED)), zone)
     utc = F.to_utc_timestamp(wall, known)
     here = F.from_utc_timestamp(utc, known) == wall
     twice = F.lit(False)
@@ -121,7 +121,7 @@ def feed_errors(rows: DataFrame, feed: str, seen_at: str, zones: Sequence[str],
     seen = F.unix_micros(F.col(seen_at))
     counts = []
     for z in zones:
-        lag = seen - zoned_us(F.col("wall_us"), F.lit(z))
+        lag = seen - zoned_us(F.col("wall_us"), z)
         counts.append(F.sum(F.when((lag >= 0) & (lag <= slack_min * 60_000_000), 0).otherwise(1)).alias(z))
     wide = rows.where(F.col("wall_us").isNotNull() & F.col(seen_at).isNotNull()).groupBy(F.col(feed).alias("feed")).agg(F.count("*").alias("n_rows"), *counts)
     return wide.select("feed", "n_rows", F.inline(F.array(*[F.struct(F.lit(z).alias("zone"), F.col(f"`{z}`").alias("n_wrong")) for z in zones])))
@@ -139,20 +139,23 @@ def utc_instants(df: DataFrame, text: str, feed_zone: str | None = None, feed: s
 
     The zone in the text counts first, then the row's ``feed_zone``. For the other rows of a ``feed`` the offset
     history is estimated from ``seen_at`` among ``zones`` (:func:`estimate_feeds`); without a feed ``default`` holds.
-    Null, empty and impossible texts, and wall times their zone has twice or never, give null.
+    Null, empty and impossible texts, and wall times their zone has twice or never, give null. All columns of ``df`` are
+    kept whatever their names; one named utc_us is replaced. The estimate is one row per feed, and feeds are few.
     """
-    rows = read_instants(df, text)
-    own = F.lit(None).cast("string") if feed_zone is None else F.nullif(strip(feed_zone), F.lit(""))
-    rows = rows.withColumn("zone_own", own)
-    guess = F.lit(default)
+    held = {"own_text": F.col(text), "own_zone": F.lit(None).cast("string") if feed_zone is None else F.nullif(strip(feed_zone), F.lit(""))}
     if feed is not None and seen_at is not None:
-        local = rows.where(F.col("offset_min").isNull() & F.col("zone_own").isNull() & F.col("wall_us").isNotNull())
-        found = estimate_feeds(local, feed, seen_at, zones, default).select(F.col("feed").alias("guess_feed"), F.col("zone").alias("zone_guess"))
-        rows = rows.join(F.broadcast(found), F.col(feed).eqNullSafe(F.col("guess_feed")), "left").drop("guess_feed")
+        held |= {"own_feed": F.col(feed).cast("string"), "own_seen": F.col(seen_at)}
+    rows = read_instants(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "utc_us"]).alias("own_row"), *[c.alias(n) for n, c in held.items()]), "own_text")
+    guess = F.lit(default)
+    if "own_feed" in held:
+        local = rows.where(F.col("offset_min").isNull() & F.col("own_zone").isNull() & F.col("wall_us").isNotNull())
+        found = estimate_feeds(local, "own_feed", "own_seen", zones, default).select(F.col("feed").alias("guess_feed"), F.col("zone").alias("zone_guess"))
+        rows = rows.join(F.broadcast(found), F.col("own_feed").eqNullSafe(F.col("guess_feed")), "left")
         guess = F.coalesce("zone_guess", F.lit(default))
-    else:
-        rows = rows.withColumn("zone_guess", F.lit(default))
     fixed = F.col("wall_us") - F.col("offset_min").cast("bigint") * 60_000_000
-    zone = F.coalesce("zone_own", guess)
-    plain = F.when(zone == "UTC", F.col("wall_us")).otherwise(zoned_us(F.col("wall_us"), zone))
-    return rows.transform(lambda r: settled(r, {"utc_us": F.when(F.col("offset_min").isNotNull(), fixed).otherwise(plain)})).drop("wall_us", "offset_min", "zone_own", "zone_guess")
+    rows = settled(rows, {"own_zone": F.coalesce("own_zone", guess)})
+    zone = F.col("own_zone")
+    plain = F.when(zone == "UTC", F.col("wall_us"))
+    if feed_zone is not None or feed is not None or default != "UTC":
+        plain = plain.otherwise(zoned_us(F.col("wall_us"), zone))
+    return settled(rows, {"utc_us": F.when(F.col("offset_min").isNotNull(), fixed).otherwise(plain)}).select("own_row.*", "utc_us")
