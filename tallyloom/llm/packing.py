@@ -104,16 +104,17 @@ def pack(pieces: list[int], capacity: int) -> list[int]:
     return place
 
 
-def containers(measured: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> DataFrame:
+def containers(measured: DataFrame, n_docs: int, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """container_id, doc_id, piece_no, first_token, n_tokens: every document in full, split only above the capacity.
 
-    measured: doc_id (unique), n_tokens. A document above the capacity is cut into full containers and one remainder,
+    measured: doc_id (unique), n_tokens; ``n_docs`` is about how many rows it has and only sets the number of shards, so
+    that texts are not measured for a count. A document above the capacity is cut into full containers and one remainder,
     which is packed like a document. Null sizes count as 0; an empty table gives no rows. Shards are filled by a hash
     of the document, so none depends on how large or how frequent anything is, and at most the last containers of a
     shard stay open.
     """
     ship(measured.sparkSession)
-    shards = max(1, round(measured.count() / shard_docs))
+    shards = max(1, round(n_docs / shard_docs))
 
     def pack_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id", kind="stable")

@@ -32,7 +32,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_containers(spark: SparkSession, d: str) -> DataFrame:
-    return packing.containers(packing.sizes(table(spark, d, "documents")))
+    docs = table(spark, d, "documents")
+    return packing.containers(packing.sizes(docs), docs.count())
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
