@@ -49,6 +49,15 @@ BEFORE_NAMES = r"""contact|contacto|kontakt|ansprechpartner(?:in)?|photo(?:graph
 |(?:checked|kept|drawn|redrawn|written|taken|signed|made|owned|held|photographed|reported|led)\ by|issued\ to|belongs\ to|letter\ from|message\ from|book\ with|speak\ to|write\ to|(?:photographs|questions|enquiries|complaints)\ go\ to
 |(?:museum|attention|care)\s*:|call|ask(?:\ for)?|(?:grand)?(?:father|mother)|uncle|aunt|brother|sister|auskunft\ gibt|absprache\ mit|verwahrt|ruft|bitte|nachlass\ von|brief\ von|écrire\ à|chez|demandez|voir\ avec|lettre\ de|escribir\ a|guarda|preguntar?\ (?:por|a)|carta\ de"""
 AFTER_NAMES = r"""lives\ (?:at|in)|is\ a\ (?:liar|thief|crook|fraud)|noted\ in|wrote\ in|built\ this|on\ site|knows\ everything|he\ knows|she\ knows|wohnt|wohnhaft|fragen|habite|demeurant|vive\ en|reside\ en|domiciliad[oa]"""
+#: Plain substrings (in lower case) without which a rule cannot match; they only spare the rules work.
+EMAIL_PARTS = ("@", "(at", "[at", "{at", "( at", "[ at", "arroba", "arobase", "ät)", "ät]", "klammeraffe", " dot ", " punkt ", " point ", " punto ", "dot]", "dot)")
+ID_PARTS = ("pass", "pasaporte", "card", "identi", " id", "id ", "insurance", "security", "soc.", "ssn", "ni number", "licen", "taxpayer", "ausweis", "führerschein", "steuer", "versicherung", "sécurité", "permis", "séjour", "fiscal", "dni", "nie", "nif", "curp", "carn", "cédula", "seguridad", "permit")
+NAME_PARTS = (
+    "contact", "kontakt", "ansprechpartner", "photo", "foto", "picture by", "author", "owner", "caretaker", "name", "nombre", "nom", "att", "regards", "best,", "yours", "grüße", "saludos",
+    "ed by", "kept by", "drawn by", "written by", "taken by", "made by", "held by", "led by", " to ", "letter", "message", "book with", "museum", "care", "call", "ask", "father", "mother", "uncle", "aunt", "brother", "sister",
+    "gibt", "absprache", "verwahrt", "ruft", "bitte", "nachlass", "brief", "écrire", "chez", "demandez", "voir avec", "escribir", "guarda", "pregunta", "carta",
+    "lives", " is a ", "noted in", "wrote in", "built this", "on site", "knows", "wohn", "fragen", "habite", "demeurant", "vive en", "reside en", "domiciliad",
+)
 # ---- end of fixed values ----
 
 _join = lambda s: "|".join(x.strip() for x in s.replace("\n", "|").split("|") if x.strip())
@@ -85,9 +94,18 @@ _STREETS = (
     re.compile(rf"(?<![\w-])(?i:{ES_STREETS})\ ?(?:(?i:de\ las?|de\ los|del|de|las?|los|el)\ )?{_CAP}(?:\ (?:(?i:de\ las?|de\ los|del|de|y)\ )?{_CAP})*,?\ (?:n\.?[º°]\ ?)?\d{{1,4}}\ ?[a-z]?(?![\w])", re.X),
 )
 
+_STREET_PARTS = (
+    tuple(f" {w}" for w in EN_STREETS.split("|")),
+    tuple(w.replace("\\", "") for w in DE_STREETS.split("|")),
+    tuple(f"{w} " for w in DE_PREPOSITIONS.split("|")),
+    tuple(f"{w} ".replace("\\", "") for w in FR_STREETS.split("|")),
+    tuple(w.replace("\\", "").replace("?", "") if "?" not in w else w.split("\\")[0] for w in ES_STREETS.split("|")),
+)
+
 _STOP = rf"(?!(?i:{_join(NOT_NAMES)})(?![\w]))"
 _NAME_WORD = rf"{_STOP}(?:[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ'’]+|[A-ZÀ-ÖØ-Þ]{{2,}})(?:-(?:[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ'’]+|[A-ZÀ-ÖØ-Þ]{{2,}}))*(?![\w@])"
 _NAME = re.compile(rf"(?<![\w@.-])(?:{_NAME_WORD}(?:\ [A-Z]\.)*\ {_NAME_WORD}|(?:[A-Z]\.\ ?)+{_NAME_WORD}|{_NAME_WORD},\ {_NAME_WORD}(?:\ [A-Z]\.)*)")
+_TITLE_ANY = re.compile(rf"(?<!\w)(?:(?i:{TITLES})\.?|M\.)\ [A-ZÀ-Þ]", re.X)
 _TITLE_BEFORE = re.compile(rf"(?:(?<![\w])(?:(?i:{TITLES})\.?|M\.)\ )$")
 _CUE_BEFORE = re.compile(rf"(?:(?<!\w)(?i:{'|'.join(BEFORE_NAMES.replace(chr(10), '').split('|'))})\s*[:=]?\s*(?:\|\s*)?)$", re.X)
 _CUE_AFTER = re.compile(rf"[\s,]*(?:{AFTER_NAMES})\b", _X)
@@ -95,9 +113,7 @@ _AND_BEFORE = re.compile(r"(?:\s(?:and|und|et|y|&|e)\s)$", re.I)
 _PLACE = re.compile(rf"(?:{PLACE_STARTS})(?=[ -])", re.I)
 _THING = re.compile(rf"(?:{_join(THINGS)})$", re.I)
 _SHIP = re.compile(r"\b(?:ferry|ship|boat|steamer|barge|schiff|fähre|bateau|navire|barco)\b[\s'\"]*$", re.I)
-_ANY = re.compile(
-    r"@|\d[\d ()./-]{3,}|\d[\w ,]* [A-ZÀ-Þ]|[A-ZÀ-Þ][\w.'’ ,/-]* \d|(?i:\b(?:at|arroba|arobase)\b.*\b(?:dot|punkt|point|punto)\b|\b(?:photo|foto|contact|kontakt|by|from|to|call|ask|name|attn|regards|chez|verwahrt|gibt|mit|ruft|guarda|escribir|écrire|preguntar?|demandez|avec|bitte|von|lives|liar|noted|built|wohnt|habite|vive|owner|author|caretaker|mrs?|dr|frau|herr|señora?)\b)"
-)
+_DIGIT = re.compile(r"\d")
 
 
 class Span(NamedTuple):
@@ -125,8 +141,12 @@ def _free(taken: list[Span], start: int, end: int) -> bool:
     return all(end <= s.start or start >= s.end for s in taken)
 
 
-def _numbers(line: str, taken: list[Span]) -> None:
-    for m in _ID.finditer(line):
+def _has(low: str, parts: tuple[str, ...]) -> bool:
+    return any(p in low for p in parts)
+
+
+def _numbers(line: str, low: str, taken: list[Span]) -> None:
+    for m in _ID.finditer(line) if _has(low, ID_PARTS) else ():
         value = m.group("v")
         if sum(c.isdigit() for c in value) >= 5:
             taken.append(Span(m.start("v"), m.end("v"), "id_number", 3))
@@ -145,8 +165,10 @@ def _numbers(line: str, taken: list[Span]) -> None:
                 taken.append(Span(start, end, "phone", score))
 
 
-def _names(line: str, taken: list[Span]) -> None:
+def _names(line: str, low: str, taken: list[Span]) -> None:
     evidence = [s for s in taken]
+    if not evidence and not _has(low, NAME_PARTS) and not _TITLE_ANY.search(line):
+        return
     found: list[Span] = []
     at = 0
     while m := _NAME.search(line, at):
@@ -184,14 +206,14 @@ def _names(line: str, taken: list[Span]) -> None:
     taken.extend(found)
 
 
-def _emails(line: str, taken: list[Span]) -> None:
-    for m in _EMAIL.finditer(line):
+def _emails(line: str, low: str, taken: list[Span]) -> None:
+    for m in _EMAIL.finditer(line) if _has(low, EMAIL_PARTS) else ():
         taken.append(Span(*m.span(), "email", 3))
 
 
-def _streets(line: str, taken: list[Span]) -> None:
-    for rx in _STREETS:
-        for m in rx.finditer(line):
+def _streets(line: str, low: str, taken: list[Span]) -> None:
+    for rx, parts in zip(_STREETS, _STREET_PARTS, strict=True):
+        for m in rx.finditer(line) if _has(low, parts) else ():
             if _free(taken, *m.span()):
                 taken.append(Span(*m.span(), "street_address", 3))
 
@@ -199,14 +221,14 @@ def _streets(line: str, taken: list[Span]) -> None:
 @lru_cache(maxsize=REMEMBERED)
 def line_spans(line: str) -> tuple[Span, ...]:
     """The kept spans of one line in order of place; they never overlap."""
-    if not _ANY.search(line):
-        return ()
+    low = line.lower()
     taken: list[Span] = []
-    _emails(line, taken)
-    _streets(line, taken)
-    _numbers(line, taken)
+    _emails(line, low, taken)
+    if _DIGIT.search(line):
+        _streets(line, low, taken)
+        _numbers(line, low, taken)
     taken = [s for i, s in enumerate(taken) if _free(taken[:i], s.start, s.end)]
-    _names(line, taken)
+    _names(line, low, taken)
     return tuple(sorted(taken))
 
 
