@@ -15,11 +15,19 @@ LIMBS, DIGITS = 6, 18
 _BASE = 10**DIGITS
 
 
-def limbs(text: Column | str) -> list[Column]:
-    """Limbs of decimal text from the lowest to the highest; null where the text is no unsigned integer."""
+def padded(text: Column | str) -> Column:
+    """Decimal text at full width; null where the text is no unsigned integer."""
     t = F.btrim(col(text))
-    padded = F.lpad(F.when(t.rlike(r"^\d{1,108}$"), t), LIMBS * DIGITS, "0")
-    return [F.substring(padded, (LIMBS - 1 - i) * DIGITS + 1, DIGITS).cast("decimal(38,0)") for i in range(LIMBS)]
+    return F.lpad(F.when(t.rlike(r"^\d{1,108}$"), t), LIMBS * DIGITS, "0")
+
+
+def limbs_of(wide: Column) -> list[Column]:
+    return [F.substring(wide, (LIMBS - 1 - i) * DIGITS + 1, DIGITS).cast("decimal(38,0)") for i in range(LIMBS)]
+
+
+def limbs(text: Column | str) -> list[Column]:
+    """Limbs of decimal text from the lowest to the highest."""
+    return limbs_of(padded(text))
 
 
 def quotient(total: Column) -> Column:
@@ -41,7 +49,12 @@ def render(parts: list[Column]) -> Column:
 
 def sum_text(text: Column | str) -> Column:
     """Aggregate: the exact sum of decimal texts, as text; nulls and texts that are no integers are skipped."""
-    return render([F.sum(p) for p in limbs(text)])
+    return sum_padded(padded(text))
+
+
+def sum_padded(wide: Column) -> Column:
+    """The same for a column of :func:`padded` texts, which is best computed once in a step of its own."""
+    return render([F.sum(p) for p in limbs_of(wide)])
 
 
 def greater(a: Column, b: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import uint256
+from tallyloom.functions.stages import settled
 
 MONEY = "decimal(38,4)"
 
@@ -24,7 +25,9 @@ def fold_legs(df: DataFrame, keys: Sequence[str], sums: Sequence[str], at: str =
 
 def collapse(df: DataFrame, keys: Sequence[str], sums: Sequence[str] = (), exact: Sequence[str] = (), first: Sequence[str] = (), order: Column | None = None) -> DataFrame:
     """Fold rows with complete keys: sums, exact sums of integers of any length as text, and the first of others."""
-    aggs = [money(c).alias(c) for c in sums] + [uint256.sum_text(c).alias(c) for c in exact]
+    if exact:
+        df = settled(df, {f"wide_{c}": uint256.padded(c) for c in exact})
+    aggs = [money(c).alias(c) for c in sums] + [uint256.sum_padded(F.col(f"wide_{c}")).alias(c) for c in exact]
     aggs += [F.min_by(c, order if order is not None else F.col(c)).alias(c) for c in first]
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(*aggs)
 
@@ -75,11 +78,13 @@ def net_balances(transfers: DataFrame, minimum: int, since: Column | None = None
 
 
 def net_balances_exact(transfers: DataFrame) -> DataFrame:
-    """The same with 256-bit values as text: token, holder, balance_raw (signed text)."""
-    credit = transfers.groupBy("token", F.col("receiver").alias("holder")).agg(uint256.sum_text("value").alias("plus"))
-    debit = transfers.groupBy("token", F.col("sender").alias("holder")).agg(uint256.sum_text("value").alias("minus"))
-    both = credit.join(debit, ["token", "holder"], "full").fillna("0", ["plus", "minus"])
-    return both.select("token", "holder", uint256.minus_text(F.col("plus"), F.col("minus")).alias("balance_raw"))
+    """The same with 256-bit values as text: token, holder, balance_raw (signed text). Values that are no unsigned
+    integers move nothing; null holders are left out."""
+    moves = settled(transfers.select("token", "sender", "receiver", "value"), {"wide": uint256.padded("value")})
+    sides = two_sides(moves.withColumn("none", F.lit(None).cast("string")), ["receiver", "wide", "none"], ["sender", "none", "wide"], ["holder", "plus", "minus"])
+    sums = sides.dropna(subset=["holder"]).groupBy("token", "holder").agg(uint256.sum_padded(F.col("plus")).alias("plus"), uint256.sum_padded(F.col("minus")).alias("minus"))
+    sums = settled(sums, {"plus": F.coalesce("plus", F.lit("0")), "minus": F.coalesce("minus", F.lit("0"))})
+    return sums.select("token", "holder", uint256.minus_text(F.col("plus"), F.col("minus")).alias("balance_raw"))
 
 
 def daily_volume(swaps: DataFrame, prices: DataFrame) -> DataFrame:
