@@ -111,7 +111,7 @@ _CUE_BEFORE = re.compile(rf"(?:(?<!\w)(?i:{'|'.join(BEFORE_NAMES.replace(chr(10)
 _CUE_AFTER = re.compile(rf"[\s,]*(?:{AFTER_NAMES})\b", _X)
 _AND_BEFORE = re.compile(r"(?:\s(?:and|und|et|y|&|e)\s)$", re.I)
 _PLACE = re.compile(rf"(?:{PLACE_STARTS})(?=[ -])", re.I)
-_THING = re.compile(rf"(?:{_join(THINGS)})$", re.I)
+_THING = re.compile(rf"(?<![\w-])(?:{_join(THINGS)})$", re.I)
 _SHIP = re.compile(r"\b(?:ferry|ship|boat|steamer|barge|schiff|fähre|bateau|navire|barco)\b[\s'\"]*$", re.I)
 _DIGIT = re.compile(r"\d")
 

@@ -55,6 +55,7 @@ CASES = {
         ("M. Quirin Ostromann-Oskel habite", "Quirin Ostromann-Oskel"),
         ("checked by Ulrika Wexel and Oskel, Piet on site.", "Oskel, Piet"),
         ("this page is WRONG call INGVAR DUNN on", "INGVAR DUNN"),
+        ("Foto: Fintan Pogare, Camino Molino Bajo, 16", "Fintan Pogare"),
         ("| Ondrej Vess || +16175550127 ||", "Ondrej Vess"),
     ],
 }
