@@ -25,8 +25,8 @@ SHARD_DOCS = 20_000
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-tokenisation pattern that belongs to the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Distinct text pieces whose size a Python worker remembers.
-REMEMBERED = 200_000
+#: Distinct text pieces whose size a Python worker remembers, and the longest of them in characters.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 1_000
 
 
 @lru_cache(maxsize=2)
@@ -40,7 +40,8 @@ def encoder(path: str):
 @lru_cache(maxsize=2)
 def line_counter(path: str) -> Callable[[str], int]:
     enc = encoder(path)
-    return lru_cache(maxsize=REMEMBERED)(lambda piece: len(enc.encode_ordinary(piece)))
+    short = lru_cache(maxsize=REMEMBERED)(lambda piece: len(enc.encode_ordinary(piece)))
+    return lambda piece: short(piece) if len(piece) <= REMEMBERED_CHARS else len(enc.encode_ordinary(piece))
 
 
 def token_count(text: str, path: str = TOKENIZER) -> int:

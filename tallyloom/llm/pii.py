@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from tallyloom.session import ship
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
-#: Judged lines a Python worker remembers.
-REMEMBERED = 100_000
+#: Judged lines a Python worker remembers, and the longest of them in characters.
+REMEMBERED, REMEMBERED_CHARS = 100_000, 1_000
 #: How close, in characters, another find counts as evidence for a name.
 NEAR = 90
 
@@ -218,9 +218,17 @@ def _streets(line: str, low: str, taken: list[Span]) -> None:
                 taken.append(Span(*m.span(), "street_address", 3))
 
 
-@lru_cache(maxsize=REMEMBERED)
 def line_spans(line: str) -> tuple[Span, ...]:
-    """The kept spans of one line in order of place; they never overlap."""
+    """The kept spans of one line of any length in order of place; they never overlap."""
+    return _remembered(line) if len(line) <= REMEMBERED_CHARS else _judge(line)
+
+
+@lru_cache(maxsize=REMEMBERED)
+def _remembered(line: str) -> tuple[Span, ...]:
+    return _judge(line)
+
+
+def _judge(line: str) -> tuple[Span, ...]:
     low = line.lower()
     taken: list[Span] = []
     _emails(line, low, taken)
