@@ -47,6 +47,12 @@ def whole(c: Column | str) -> Column:
     return F.when(d == F.floor(d), d).try_cast("bigint")
 
 
+def utc_month(c: Column | str) -> Column:
+    """``yyyy-MM`` of an instant in UTC, whatever the session's zone."""
+    day = F.date_from_unix_date(F.floor(F.unix_micros(col(c)) / 86_400_000_000).cast("int"))
+    return F.date_format(day, "yyyy-MM")
+
+
 def sql_strip(c: str) -> str:
     """The same trimming for a DuckDB statement."""
     return f"trim({c}, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160))"

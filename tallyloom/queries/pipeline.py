@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import address, sql_strip
+from tallyloom.functions.text import address, sql_strip, utc_month
 from tallyloom.operators import features, heavykeys, instants, nested, references
 from tallyloom.queries.views import plain, plain_sql
 from tallyloom.session import table
@@ -29,7 +29,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
         references.orphan_rows(deployments, accounts, ["fid"]).withColumn("ref_table", F.lit("deployments")),
     ]
     rows = reduce(DataFrame.unionByName, found)
-    return rows.select("ref_table", "row_id", F.date_format("seen_at", "yyyy-MM").alias("period"), "reason")
+    return rows.select("ref_table", "row_id", utc_month("seen_at").alias("period"), "reason")
 
 
 def p1_report(spark: SparkSession, d: str) -> DataFrame:

@@ -9,7 +9,7 @@ from tallyloom.functions import clean, uint256
 from tallyloom.functions.text import address, blank_to_null, number, strip, whole
 from tallyloom.operators import decode, features, fold, match, pivot, rank, registry, resolve, upsert
 from tallyloom.operators.upsert import Policy
-from tallyloom.queries.views import CUSTODY, EVENTS, LEGS, OWNERS, TOKENS, WALLETS, A, custody, event_rows, leg_trades, plain, plain_sql, wallets
+from tallyloom.queries.views import CUSTODY, EVENTS, LEGS, OWNERS, WALLETS, A, custody, event_rows, leg_trades, plain, plain_sql, wallets
 from tallyloom.session import table
 
 QUERIES = {}
@@ -73,43 +73,49 @@ def leg_fold_multi(spark, d):
 
 
 @query(f"""WITH {LEGS} SELECT tx, leg, side, token, CAST(usd AS DOUBLE) AS usd FROM (
-    SELECT tx, leg, taker, 'buy' AS side, bought AS token, usd FROM legs UNION ALL SELECT tx, leg, taker, 'sell', sold, usd FROM legs) WHERE token < 5""")
+    SELECT tx, leg, taker, 'buy' AS side, bought AS token, usd FROM legs UNION ALL SELECT tx, leg, taker, 'sell', sold, usd FROM legs)""")
 def sided_trades(spark, d):
-    index = spark.range(5).withColumnRenamed("id", "token")
-    rows = fold.two_sides(leg_trades(spark, d), ["bought"], ["sold"], ["token"]).join(index, "token", "left_semi")
+    rows = fold.two_sides(leg_trades(spark, d), ["bought"], ["sold"], ["token"])
     return rows.select("tx", "leg", "side", "token", F.col("usd").cast("double").alias("usd"))
 
 
-@query(f"WITH {LEGS} SELECT count(*) AS n_legs, {M('usd')} AS usd FROM legs WHERE taker IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3) OR tx_from IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3)")
+@query(f"WITH {LEGS} SELECT count(*) AS n_legs, {M('usd')} AS usd FROM legs WHERE taker IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000) OR tx_from IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)")
 def membership_of_either(spark, d):
-    keys = table(spark, d, "supplier").where("s_nationkey = 3").select(F.col("s_suppkey").alias("key"))
+    keys = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("key"))
     legs = leg_trades(spark, d).withColumn("row_no", F.monotonically_increasing_id())
     taker = legs.join(keys.select(F.col("key").alias("taker"), F.lit(1).alias("by_taker")), "taker", "left")
     both = taker.join(keys.select(F.col("key").alias("tx_from"), F.lit(1).alias("by_sender")), "tx_from", "left").where("by_taker = 1 or by_sender = 1")
     return both.agg(F.count("*").alias("n_legs"), fold.money("usd").alias("usd"))
 
 
-_LISTED = "l AS (SELECT unnest(range(0, 20)) AS token)"
+_LISTED = "(SELECT n_nationkey FROM nation)"
 
 
-@query(f"""WITH {LEGS}, m AS (SELECT *, bought < 20 AS is_buy, CASE WHEN bought < 20 THEN bought WHEN sold < 20 THEN sold END AS token FROM legs)
+def _listed(spark, d):
+    """The listed tokens: as many as there are nations."""
+    return table(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("token"))
+
+
+@query(f"""WITH {LEGS}, m AS (SELECT *, bought IN {_LISTED} AS is_buy, CASE WHEN bought IN {_LISTED} THEN bought WHEN sold IN {_LISTED} THEN sold END AS token FROM legs)
     SELECT token, coalesce({M('CASE WHEN is_buy THEN usd END')}, 0) AS buy_usd, coalesce({M('CASE WHEN NOT is_buy THEN usd END')}, 0) AS sell_usd, {M('usd')} AS volume_usd,
       count(DISTINCT taker) AS n_takers, count(*) AS n_trades FROM m WHERE token IS NOT NULL GROUP BY 1""")
 def volume_one_scan(spark, d):
-    return fold.volume_one_scan(leg_trades(spark, d), spark.range(20).withColumnRenamed("id", "token"))
+    return fold.volume_one_scan(leg_trades(spark, d), _listed(spark, d))
 
 
 _TWO = "t AS (SELECT bought AS token, taker, usd FROM legs UNION ALL SELECT sold, taker, usd FROM legs)"
 
 
-@query(f"WITH {LEGS}, {_TWO} SELECT token, {M('usd')} AS volume_usd, count(DISTINCT taker) AS n_takers, count(*) AS n_trades FROM t WHERE token < 20 GROUP BY 1")
+@query(f"WITH {LEGS}, {_TWO} SELECT token, {M('usd')} AS volume_usd, count(DISTINCT taker) AS n_takers, count(*) AS n_trades FROM t WHERE token IN {_LISTED} GROUP BY 1")
 def volume_two_sided(spark, d):
-    return fold.volume_two_sided(leg_trades(spark, d), spark.range(20).withColumnRenamed("id", "token"))
+    return fold.volume_two_sided(leg_trades(spark, d), _listed(spark, d))
 
 
-@query(f"WITH {LEGS}, {_TWO} SELECT token, {M('usd')} AS volume_usd FROM t WHERE token < {TOKENS} GROUP BY 1 HAVING {M('usd')} >= 50000 ORDER BY 2 DESC, 1 LIMIT 25")
+@query(f"WITH {LEGS}, {_TWO} SELECT token, {M('usd')} AS volume_usd FROM t GROUP BY 1 HAVING {M('usd')} >= 50000 ORDER BY 2 DESC, 1 LIMIT 25")
 def volume_gate_topk(spark, d):
-    v = fold.volume_two_sided(leg_trades(spark, d), spark.range(TOKENS).withColumnRenamed("id", "token")).where("volume_usd >= 50000")
+    legs = leg_trades(spark, d)
+    tokens = legs.select("bought").union(legs.select("sold")).distinct().toDF("token")
+    v = fold.volume_two_sided(legs, tokens).where("volume_usd >= 50000")
     return rank.top(v.select("token", "volume_usd"), [F.desc("volume_usd"), F.asc("token")], 25)
 
 
@@ -253,27 +259,27 @@ def _pools(spark, d):
     return table(spark, d, "part").select(F.col("p_partkey").alias("pool"), (F.col("p_partkey") % 40).alias("token0"), (F.col("p_size") % 40).cast("bigint").alias("token1"))
 
 
-@query(f"WITH {_POOLS} SELECT pool, token0 AS token, token1 AS other FROM pools WHERE token0 < 10 UNION ALL SELECT pool, token1, token0 FROM pools WHERE token1 < 10")
+@query(f"WITH {_POOLS} SELECT pool, token0 AS token, token1 AS other FROM pools WHERE token0 IN {_LISTED} UNION ALL SELECT pool, token1, token0 FROM pools WHERE token1 IN {_LISTED}")
 def pool_sides_union(spark, d):
-    return registry.pools_by_side(_pools(spark, d), spark.range(10).withColumnRenamed("id", "token"))
+    return registry.pools_by_side(_pools(spark, d), _listed(spark, d))
 
 
 @query(f"""WITH {_POOLS}, x AS (SELECT CAST(s_nationkey AS BIGINT) AS token, max(s_suppkey % 20) AS d FROM supplier GROUP BY 1), e AS (SELECT *, coalesce(a.d, 18) AS decimals0, coalesce(b.d, 18) AS decimals1 FROM pools LEFT JOIN x a ON token0 = a.token LEFT JOIN x b ON token1 = b.token)
-    SELECT DISTINCT pool, token, decimals0, decimals1 FROM (SELECT pool, token0 AS token, decimals0, decimals1 FROM e UNION ALL SELECT pool, token1, decimals0, decimals1 FROM e) WHERE token < 10""")
+    SELECT DISTINCT pool, token, decimals0, decimals1 FROM (SELECT pool, token0 AS token, decimals0, decimals1 FROM e UNION ALL SELECT pool, token1, decimals0, decimals1 FROM e) WHERE token IN {_LISTED}""")
 def lp_fanout(spark, d):
     decimals = table(spark, d, "supplier").select(F.col("s_nationkey").cast("bigint").alias("token"), (F.col("s_suppkey") % 20).alias("decimals"))
     events = registry.with_decimals(_pools(spark, d), decimals)
-    return registry.fan_out_index(events, spark.range(10).withColumnRenamed("id", "token")).select("pool", "token", "decimals0", "decimals1")
+    return registry.fan_out_index(events, _listed(spark, d)).select("pool", "token", "decimals0", "decimals1")
 
 
-_DAILY = f"""{LEGS}, pr AS (SELECT CAST(o_orderdate AS DATE) AS day, o_custkey % 7 AS numeraire, CAST(sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS BIGINT) // count(*) AS price FROM orders WHERE o_custkey % 7 < 5 GROUP BY 1, 2),
+_DAILY = f"""{LEGS}, pr AS (SELECT CAST(o_orderdate AS DATE) AS day, o_custkey % 7 AS numeraire, CAST(sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS BIGINT) // count(*) AS price FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
     g AS (SELECT bought AS token, CAST(block_time AS DATE) AS day, sold % 7 AS numeraire, count(*) AS n, sum(CAST(amount AS DECIMAL(28,4))) AS native FROM legs GROUP BY 1, 2, 3),
     dv AS (SELECT token, g.day AS day, CAST(sum(n) AS BIGINT) AS swap_count, CAST(sum(native) AS DOUBLE) AS volume_native, CAST(sum(CAST(native AS DECIMAL(18,4)) * CAST(price AS DECIMAL(14,4))) AS DOUBLE) AS volume_usd FROM g LEFT JOIN pr ON g.day = pr.day AND g.numeraire = pr.numeraire GROUP BY 1, 2)"""
 
 
 def _daily(spark, d):
     swaps = leg_trades(spark, d).select(F.col("bought").alias("token"), F.to_date("block_time").alias("day"), (F.col("sold") % 7).alias("numeraire"), "amount")
-    orders = table(spark, d, "orders").withColumn("numeraire", F.col("o_custkey") % 7).where("numeraire < 5")
+    orders = table(spark, d, "orders").where("o_orderstatus = 'F'").withColumn("numeraire", F.col("o_custkey") % 7)
     cents = F.sum((F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("bigint"))
     prices = orders.groupBy(F.to_date("o_orderdate").alias("day"), "numeraire").agg(F.call_function("div", cents, F.count("*")).alias("price"))
     return fold.daily_volume(swaps, prices)
@@ -426,10 +432,10 @@ def channel_full_outer(spark, d):
     return pivot.channel_summary(table(spark, d, "token_casts"), table(spark, d, "attributions").where("author_fid is not null"), "chain_id", "author_fid")
 
 
-@query(f"WITH {EVENTS}, m AS (SELECT DISTINCT event_id, user_id, brand FROM (SELECT event_id, user_id, unnest([k % 30, user_id % 30, k % 30]) AS brand FROM ev)) SELECT event_id, user_id, brand FROM m WHERE brand < 12 AND brand <> user_id")
+@query(f"WITH {EVENTS}, m AS (SELECT DISTINCT event_id, user_id, brand FROM (SELECT event_id, user_id, unnest([k % 30, user_id % 30, k % 30]) AS brand FROM ev)) SELECT event_id, user_id, brand FROM m WHERE brand IN {_LISTED} AND brand <> user_id")
 def mention_explode(spark, d):
     posts = event_rows(spark, d).select("event_id", "user_id", F.array(F.col("k") % 30, F.col("user_id") % 30, F.col("k") % 30).alias("ids"), F.lit("").alias("body"))
-    brands = spark.range(12).select(F.col("id").alias("fid"), F.lit(None).cast("string").alias("name"))
+    brands = _listed(spark, d).select(F.col("token").alias("fid"), F.lit(None).cast("string").alias("name"))
     return pivot.mentions(posts, brands, "body", "name", "ids", "user_id").select("event_id", "user_id", "brand")
 
 
@@ -521,16 +527,17 @@ def source_coverage(spark, d):
 
 # ---------------------------------------------------------------- upserts: L1-L9, H9, H10, F25
 
-_OLDNEW = """o AS (SELECT fid, arg_min(username, ingested_at) AS username, min(follower_count) AS follower_count, arg_min(custody_address, ingested_at) AS custody_address FROM accounts WHERE fid % 3 <> 0 GROUP BY 1),
-    n AS (SELECT fid, arg_max(username, ingested_at) AS username, max(follower_count) AS follower_count, arg_max(custody_address, ingested_at) AS custody_address FROM accounts WHERE fid % 2 = 0 GROUP BY 1)"""
+_OLDNEW = """o AS (SELECT fid, arg_min(username, ingested_at) AS username, min(follower_count) AS follower_count, arg_min(custody_address, ingested_at) AS custody_address FROM accounts WHERE ingested_at < TIMESTAMPTZ '2025-06-01 00:00:00+00' GROUP BY 1),
+    n AS (SELECT fid, arg_max(username, ingested_at) AS username, max(follower_count) AS follower_count, arg_max(custody_address, ingested_at) AS custody_address FROM accounts WHERE ingested_at >= TIMESTAMPTZ '2025-06-01 00:00:00+00' GROUP BY 1)"""
 
 
 def _snapshots(spark, d):
     a = table(spark, d, "accounts")
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("ingested_at"))).alias(c)
     last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ingested_at"))).alias(c)
-    old = a.where("fid % 3 <> 0").groupBy("fid").agg(first("username"), F.min("follower_count").alias("follower_count"), first("custody_address"))
-    new = a.where("fid % 2 = 0").groupBy("fid").agg(last("username"), F.max("follower_count").alias("follower_count"), last("custody_address"))
+    cut = F.lit(1748736000000000)  # 2025-06-01 UTC
+    old = a.where(F.unix_micros("ingested_at") < cut).groupBy("fid").agg(first("username"), F.min("follower_count").alias("follower_count"), first("custody_address"))
+    new = a.where(F.unix_micros("ingested_at") >= cut).groupBy("fid").agg(last("username"), F.max("follower_count").alias("follower_count"), last("custody_address"))
     return old, new
 
 
