@@ -81,8 +81,8 @@ def _fields(ddl: str) -> str:
     """A DDL column list as the fields of a struct type."""
     out, depth, token = [], 0, ""
     for ch in ddl.replace("\n", " ") + ",":
-        depth += ch in "<" 
-        depth -= ch in ">"
+        depth += ch == "<"
+        depth -= ch == ">"
         if ch == "," and not depth:
             name, _, kind = token.strip().partition(" ")
             out.append(f"{name.rstrip(':')}: {kind.strip()}")
