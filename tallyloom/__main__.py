@@ -12,16 +12,13 @@ from pyspark.sql import SparkSession
 from tallyloom.queries import pipeline, products, reference
 from tallyloom.session import local_session
 
-EXTENSION = "llm"
-
 
 def known() -> dict:
-    modules = [pipeline, reference, products]
+    """The queries of the entry module where it can be imported, else those of the core."""
     try:
-        modules.append(import_module(f"tallyloom.{EXTENSION}.queries"))
+        return import_module("__spark_entry__").queries()
     except ImportError:
-        pass
-    return {k: f for m in modules for k, f in m.QUERIES.items()}
+        return {k: f for m in (pipeline, reference, products) for k, f in m.QUERIES.items()}
 
 
 def preflight(spark: SparkSession, root: str) -> list[tuple[str, bool, str]]:
