@@ -274,7 +274,7 @@ def lp_fanout(spark, d):
 
 _DAILY = f"""{LEGS}, pr AS (SELECT CAST(o_orderdate AS DATE) AS day, o_custkey % 7 AS numeraire, CAST(sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS BIGINT) // count(*) AS price FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
     g AS (SELECT bought AS token, CAST(block_time AS DATE) AS day, sold % 7 AS numeraire, count(*) AS n, sum(CAST(amount AS DECIMAL(28,4))) AS native FROM legs GROUP BY 1, 2, 3),
-    dv AS (SELECT token, g.day AS day, CAST(sum(n) AS BIGINT) AS swap_count, CAST(sum(native) AS DOUBLE) AS volume_native, CAST(sum(CAST(native AS DECIMAL(18,4)) * CAST(price AS DECIMAL(14,4))) AS DOUBLE) AS volume_usd FROM g LEFT JOIN pr ON g.day = pr.day AND g.numeraire = pr.numeraire GROUP BY 1, 2)"""
+    dv AS (SELECT token, g.day AS day, CAST(sum(n) AS BIGINT) AS swap_count, CAST(sum(native) AS DOUBLE) AS volume_native, CAST(sum(CAST(native AS DECIMAL(24,4)) * CAST(price AS DECIMAL(14,4))) AS DOUBLE) AS volume_usd FROM g LEFT JOIN pr ON g.day = pr.day AND g.numeraire = pr.numeraire GROUP BY 1, 2)"""
 
 
 def _daily(spark, d):
