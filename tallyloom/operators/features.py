@@ -39,23 +39,29 @@ def kind_index(events: DataFrame) -> DataFrame:
     return kinds.withColumn("kind_no", (F.row_number().over(W.orderBy("kind")) - 1).cast("int"))
 
 
-def entity_vectors(events: DataFrame) -> DataFrame:
+def entity_vectors(events: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """entity, features: array of struct(kind_no, kind, n, total, latest), one element per kind that occurs.
 
+    Kinds are numbered by ``index``, else by the kinds of ``events``. Vectors that are to be merged need one index over
+    the kinds of all their events.
+
     Counts are merged per (entity, kind) before an entity's kinds are brought together, so an entity's row is never
     wider than the vocabulary however many events it has. The total is rounded to 6 digits, null weights count 0.
     """
     per_kind = events.groupBy("entity", "kind").agg(
         F.count("*").alias("n"), F.round(F.sum(F.coalesce("weight", F.lit(0.0)).cast("decimal(30,6)")).cast("double"), 6).alias("total"), F.max("at").alias("latest")
     )
-    coded = per_kind.join(kind_index(events).select("kind", "kind_no"), "kind")
+    coded = per_kind.join((kind_index(events) if index is None else index).select("kind", "kind_no"), "kind")
     return coded.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("kind_no", "kind", "n", "total", "latest"))).alias("features"))
 
 
 def merge_vectors(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Merge two tables of vectors over the same kind numbers, such as two periods. Either may be empty."""
+    """Merge two tables of vectors over the same kind numbers, such as two periods. Either may be empty.
+
+    Deliveries of one event must not be spread over both: they would count twice.
+    """
     rows = a.unionByName(b).select("entity", F.inline("features"))
-    merged = rows.groupBy("entity", "kind_no", "kind").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("latest").alias("latest"))
+    merged = rows.groupBy("entity", "kind_no", "kind").agg(F.sum("n").alias("n"), F.round(F.sum(F.col("total").cast("decimal(30,6)")).cast("double"), 6).alias("total"), F.max("latest").alias("latest"))
     return merged.groupBy("entity").agg(F.array_sort(F.collect_list(F.struct("kind_no", "kind", "n", "total", "latest"))).alias("features"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import address, sql_strip, utc_month
 from tallyloom.operators import features, heavykeys, instants, nested, references
 from tallyloom.queries.views import plain, plain_sql
-from tallyloom.session import table
+from tallyloom.session import cut, table
 
 #: Candidate offset histories of feeds that do not name their zone.
 ZONES = ("UTC", "America/New_York", "America/Los_Angeles", "Europe/Berlin", "Asia/Kolkata", "Australia/Sydney")
@@ -58,10 +58,13 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _vectors(spark: SparkSession, d: str) -> DataFrame:
+def _events(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "brand_engagements")
-    events = features.distinct_events(rows, "engager_fid", "engagement", ("brand_fid", "cast_hash", "target_cast_hash"), "engaged_at", "weight")
-    return features.entity_vectors(events)
+    return features.distinct_events(rows, "engager_fid", "engagement", ("brand_fid", "cast_hash", "target_cast_hash"), "engaged_at", "weight")
+
+
+def _vectors(spark: SparkSession, d: str) -> DataFrame:
+    return features.entity_vectors(_events(spark, d))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -74,6 +77,27 @@ def p6_features(spark: SparkSession, d: str) -> DataFrame:
     return plain(wide.withColumnRenamed("entity", "engager_fid"))
 
 
+def p6_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Count, total and latest time of every kind an engager has, from the merged vectors of two parts of the brands.
+
+    All deliveries of an event name the same brand, so none is in both parts.
+    """
+    events = cut(_events(spark, d))
+    index = cut(features.kind_index(events))
+    first = F.pmod(F.xxhash64("same_0"), F.lit(2)) == 0
+    merged = features.merge_vectors(*[features.entity_vectors(events.where(part), index) for part in (first, ~first)])
+    long = features.long_features(merged).withColumnsRenamed({"entity": "engager_fid", "kind": "engagement", "n": "n_events"})
+    return plain(long)
+
+
+def p6_table(spark: SparkSession, d: str) -> DataFrame:
+    """One row per engager with the columns of every kind in the table; only the names of the kinds are collected."""
+    events = cut(_events(spark, d))
+    index = cut(features.kind_index(events))
+    kinds = [r["kind"] for r in index.select("kind_no", "kind").orderBy("kind_no").collect()]
+    return plain(features.wide_features(features.entity_vectors(events, index), kinds).withColumnRenamed("entity", "engager_fid"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     deployments = instants.utc_instants(table(spark, d, "deployments").select("deployment_id", "deployed_at", "feed_tz", "ingested_at"), "deployed_at", "feed_tz", "feed_tz", "ingested_at", ZONES)
     ledger = instants.utc_instants(table(spark, d, "hyperliquid_info").select("update_id", "time"), "time")
@@ -89,7 +113,7 @@ def p7_feeds(spark: SparkSession, d: str) -> DataFrame:
     return instants.feed_errors(rows, "feed_tz", "ingested_at", ZONES)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_quantiles, p5_found, p6_found, p6_features, p7_found, p7_feeds)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_quantiles, p5_found, p6_found, p6_features, p6_kinds, p6_table, p7_found, p7_feeds)}
 
 _A = lambda c: f"lower({sql_strip(c)})"
 _P1 = f"""
@@ -123,6 +147,11 @@ SQL = {
         p AS (SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE]) AS prob)
         SELECT token_address, prob, n_rows, v AS quantile FROM n, p WHERE i = greatest(1, ceil(prob * n_rows))""",
     "p6_found": _P6 + "SELECT engager_fid, engagement, count(*) AS n_events FROM e GROUP BY ALL",
+    "p6_kinds": plain_sql(
+        _P6
+        + "SELECT engager_fid, engagement, count(*) AS n_events, round(CAST(sum(CAST(coalesce(w, 0) AS DECIMAL(30,6))) AS DOUBLE), 6) AS total, max(last_at) AS latest FROM e GROUP BY ALL",
+        ("latest",),
+    ),
     "p6_features": plain_sql(
         _P6
     + "SELECT engager_fid, "

@@ -1,6 +1,10 @@
 from datetime import datetime
 
+import pytest
+
+from oracle import TABLES
 from tallyloom.operators import features as f
+from tallyloom.queries import pipeline
 
 T = lambda n: datetime(2025, 1, n)
 SCHEMA = "who bigint, kind string, brand bigint, a string, b string, at timestamp, w double, entity string"
@@ -39,3 +43,27 @@ def test_wide_and_merge(spark):
 
 def test_empty(spark):
     assert vectors(spark, []).count() == 0
+
+
+def test_parts_merge_into_the_vectors_of_the_whole(spark):
+    data = [*DATA, (1, "like", 6, None, None, T(4), 0.25, "x"), (1, "like", 7, None, None, T(5), 0.5, "x"), (2, "zap", 6, None, None, T(5), 0.1, "x")]
+    events = f.distinct_events(spark.createDataFrame(data, SCHEMA), "who", "kind", ("brand", "a", "b"), "at", "w")
+    index = f.kind_index(events)
+    parts = [f.entity_vectors(events.where(c), index) for c in ("same_0 = '6'", "same_0 <> '6'")]
+    both = lambda v: sorted(map(tuple, f.long_features(v).collect()), key=str)
+    assert both(f.merge_vectors(*parts)) == both(f.entity_vectors(events))
+
+
+@pytest.mark.skipif(not TABLES.exists(), reason="no tables")
+def test_every_kind_comes_out_with_all_its_figures(spark):
+    """The queries over the tables leave out no kind; the wide one holds what the long one holds."""
+    found = {(r.engager_fid, r.engagement): r.n_events for r in pipeline.p6_found(spark, str(TABLES)).collect()}
+    long = {(r.engager_fid, r.engagement): (r.n_events, r.total, r.latest) for r in pipeline.p6_kinds(spark, str(TABLES)).collect()}
+    assert {k: v[0] for k, v in long.items()} == found and len({k for _, k in found}) > 4
+    table = pipeline.p6_table(spark, str(TABLES))
+    kinds = sorted({k for _, k in found})
+    groups = [[f"{g}_{k.replace('.', '_')}" for g in ("n", "total", "latest")] for k in kinds]
+    assert sorted(table.columns) == sorted(["engager_fid", *[c for g in groups for c in g]])
+    wide = {(r["engager_fid"], k): tuple(r[c] for c in g) for r in table.collect() for k, g in zip(kinds, groups, strict=True)}
+    assert {e for e, _ in wide} == {e for e, _ in found}
+    assert wide == dict.fromkeys(wide, (0, 0.0, None)) | long
