@@ -48,6 +48,13 @@ def p3_quantiles(spark: SparkSession, d: str) -> DataFrame:
     return heavykeys.quantiles(trades, "token", "amount_usd", (0.5, 0.9)).withColumnRenamed("key_value", "token_address")
 
 
+def p3_chains(spark: SparkSession, d: str) -> DataFrame:
+    """Quantiles of the time of loading (microseconds since 1970) for every chain; doubles hold them exactly."""
+    tokens = table(spark, d, "tokens").select(F.col("chain_id"), F.unix_micros("ingested_at").alias("us"))
+    out = heavykeys.quantiles(tokens, "chain_id", "us", (0.5, 0.9))
+    return out.select(F.col("key_value").alias("chain_id"), "prob", "n_rows", F.col("quantile").cast("bigint").alias("ingested_us"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     clanker, bankr = table(spark, d, "clanker_tokens_page1"), table(spark, d, "bankr_token_launches")
     parts = [
@@ -113,7 +120,7 @@ def p7_feeds(spark: SparkSession, d: str) -> DataFrame:
     return instants.feed_errors(rows, "feed_tz", "ingested_at", ZONES)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_quantiles, p5_found, p6_found, p6_features, p6_kinds, p6_table, p7_found, p7_feeds)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_quantiles, p3_chains, p5_found, p6_found, p6_features, p6_kinds, p6_table, p7_found, p7_feeds)}
 
 _A = lambda c: f"lower({sql_strip(c)})"
 _P1 = f"""
@@ -146,6 +153,11 @@ SQL = {
         n AS (SELECT token_address, v, row_number() OVER (PARTITION BY token_address ORDER BY v) AS i, count(*) OVER (PARTITION BY token_address) AS n_rows FROM r),
         p AS (SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE]) AS prob)
         SELECT token_address, prob, n_rows, v AS quantile FROM n, p WHERE i = greatest(1, ceil(prob * n_rows))""",
+    "p3_chains": """
+        WITH r AS (SELECT chain_id, epoch_us(ingested_at) AS v FROM tokens WHERE chain_id IS NOT NULL AND ingested_at IS NOT NULL),
+        n AS (SELECT chain_id, v, row_number() OVER (PARTITION BY chain_id ORDER BY v) AS i, count(*) OVER (PARTITION BY chain_id) AS n_rows FROM r),
+        p AS (SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE]) AS prob)
+        SELECT chain_id, prob, n_rows, v AS ingested_us FROM n, p WHERE i = greatest(1, ceil(prob * n_rows))""",
     "p6_found": _P6 + "SELECT engager_fid, engagement, count(*) AS n_events FROM e GROUP BY ALL",
     "p6_kinds": plain_sql(
         _P6
