@@ -49,29 +49,67 @@ BEFORE_NAMES = r"""contact|contacto|kontakt|ansprechpartner(?:in)?|photo(?:graph
 |(?:checked|kept|drawn|redrawn|written|taken|signed|made|owned|held|photographed|reported|led)\ by|issued\ to|belongs\ to|letter\ from|message\ from|book\ with|speak\ to|write\ to|(?:photographs|questions|enquiries|complaints)\ go\ to
 |(?:museum|attention|care)\s*:|call|ask(?:\ for)?|(?:grand)?(?:father|mother)|uncle|aunt|brother|sister|auskunft\ gibt|absprache\ mit|verwahrt|ruft|bitte|nachlass\ von|brief\ von|écrire\ à|chez|demandez|voir\ avec|lettre\ de|escribir\ a|guarda|preguntar?\ (?:por|a)|carta\ de"""
 AFTER_NAMES = r"""lives\ (?:at|in)|is\ a\ (?:liar|thief|crook|fraud)|noted\ in|wrote\ in|built\ this|on\ site|knows\ everything|he\ knows|she\ knows|wohnt|wohnhaft|fragen|habite|demeurant|vive\ en|reside\ en|domiciliad[oa]"""
-#: Plain substrings (in lower case) without which a rule cannot match; they only spare the rules work.
-EMAIL_PARTS = ("@", "(at", "[at", "{at", "( at", "[ at", "arroba", "arobase", "ät)", "ät]", "klammeraffe", " dot ", " punkt ", " point ", " punto ", "dot]", "dot)")
-ID_PARTS = ("pass", "pasaporte", "card", "identi", " id", "id ", "insurance", "security", "soc.", "ssn", "ni number", "licen", "taxpayer", "ausweis", "führerschein", "steuer", "versicherung", "sécurité", "permis", "séjour", "fiscal", "dni", "nie", "nif", "curp", "carn", "cédula", "seguridad", "permit")
-NAME_PARTS = (
-    "contact", "kontakt", "ansprechpartner", "photo", "foto", "picture by", "author", "owner", "caretaker", "name", "nombre", "nom", "att", "regards", "best,", "yours", "grüße", "saludos",
-    "ed by", "kept by", "drawn by", "written by", "taken by", "made by", "held by", "led by", " to ", "letter", "message", "book with", "museum", "care", "call", "ask", "father", "mother", "uncle", "aunt", "brother", "sister",
-    "gibt", "absprache", "verwahrt", "ruft", "bitte", "nachlass", "brief", "écrire", "chez", "demandez", "voir avec", "escribir", "guarda", "pregunta", "carta",
-    "lives", " is a ", "noted in", "wrote in", "built this", "on site", "knows", "wohn", "fragen", "habite", "demeurant", "vive en", "reside en", "domiciliad",
-)
+AT_WORDS, SPOKEN_AT_WORDS, DOT_WORDS = "at|arroba|arobase|ät|klammeraffe", "at|arroba|arobase", "dot|punkt|point|punto"
 # ---- end of fixed values ----
 
+
+def _texts(pattern: str, i: int = 0) -> tuple[list[tuple[str, bool]], int]:
+    """The texts a verbose pattern of words, groups, classes and ``?`` begins with; whether each is the whole match; the end."""
+    out, heads = [], [("", True)]
+    while i < len(pattern) and pattern[i] != ")":
+        c = pattern[i]
+        i += 1
+        if c == "|":
+            out, heads = out + heads, [("", True)]
+            continue
+        if c in " \n":
+            continue
+        if pattern.startswith("(?:", i - 1):
+            part, i = _texts(pattern, i + 2)
+            i += 1
+        elif c == "[":
+            end = pattern.index("]", i)
+            part, i = [(x, True) for x in pattern[i:end]], end + 1
+        elif c == "\\":
+            part = [("", False)] if pattern[i] == "s" else [(pattern[i], True)]
+            i += 1
+        else:
+            part = [(c, True)]
+        if pattern[i : i + 1] == "?":
+            part, i = [*part, ("", True)], i + 1
+        elif pattern[i : i + 1] == "*":
+            part, i = [("", False)], i + 1
+        heads = [h for text, whole in heads for h in ([(text + t, w) for t, w in part] if whole else [(text, False)])]
+    return out + heads, i
+
+
+def needed(*patterns: str) -> tuple[str, ...]:
+    """The fewest texts (in lower case) of which a line holds at least one wherever one of the patterns matches."""
+    texts = sorted({t.lower() for p in patterns for t, _ in _texts(p)[0]}, key=lambda t: (len(t), t))
+    kept: list[str] = []
+    for t in texts:
+        if not any(k in t for k in kept):
+            kept.append(t)
+    return tuple(kept)
+
+
+#: Texts without which a rule cannot match, taken from the rule's own words; they only spare the rules work.
+ID_PARTS, NAME_PARTS, DOT_PARTS = needed(ID_LABELS), needed(BEFORE_NAMES, AFTER_NAMES), needed(DOT_WORDS)
+
 _join = lambda s: "|".join(x.strip() for x in s.replace("\n", "|").split("|") if x.strip())
 _X = re.X | re.I
 
-_AT_SIGN = r"(?:\s*[\[({]\s*(?:at|arroba|arobase|ät|klammeraffe)\s*[\])}]\s*)"
-_DOT_SIGN = r"(?:\s*[\[({]\s*(?:dot|punkt|point|punto)\s*[\])}]\s*|\s(?:dot|punkt|point|punto)\s)"
+_AT_SIGN = rf"(?:\s*[\[({{]\s*(?:{AT_WORDS})\s*[\])}}]\s*)"
+_DOT_SIGN = rf"(?:\s*[\[({{]\s*(?:{DOT_WORDS})\s*[\])}}]\s*|\s(?:{DOT_WORDS})\s)"
 _LOCAL = r"(?<![\w.+-])[a-z0-9](?:[\w.+-]*[\w+])?"
 _LABEL = r"[a-z0-9](?:[a-z0-9-]*[a-z0-9])?"
 _EMAIL = re.compile(
     rf"{_LOCAL}(?:@|{_AT_SIGN}){_LABEL}(?:(?:\.|{_DOT_SIGN}){_LABEL})*(?:\.|{_DOT_SIGN})[a-z]{{2,}}(?![\w])"
-    rf"|{_LOCAL}\s(?:at|arroba|arobase)\s{_LABEL}(?:(?:\.|{_DOT_SIGN}){_LABEL})*{_DOT_SIGN}[a-z]{{2,}}(?![\w])",
+    rf"|{_LOCAL}\s(?:{SPOKEN_AT_WORDS})\s{_LABEL}(?:(?:\.|{_DOT_SIGN}){_LABEL})*{_DOT_SIGN}[a-z]{{2,}}(?![\w])",
     re.I,
 )
+_AT_SEEN = re.compile(rf"[\[({{]\s*(?:{AT_WORDS})\s*[\])}}]")
+_SPOKEN_AT_SEEN = re.compile(rf"\s(?:{SPOKEN_AT_WORDS})\s")
 _PHONES = (
     (3, 9, 15, re.compile(r"(?<![\w@/#.+-])(?:\+|00)[1-9]\d{0,2}(?:[ ./-]?(?:\(\d{1,4}\)|\d{1,10}))(?:[ ./-]?\d{1,8}){0,6}(?![\w@])")),
     (2, 10, 11, re.compile(r"(?<![\w@/#+-])(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w@-])")),
@@ -145,6 +183,17 @@ def _has(low: str, parts: tuple[str, ...]) -> bool:
     return any(p in low for p in parts)
 
 
+def _folded(line: str) -> str:
+    """Lower case in which also the letters stand plain that patterns without case take for i and s."""
+    low = line.lower()
+    return low if low.isascii() else low.replace("i\u0307", "i").replace("ı", "i").replace("ſ", "s")
+
+
+def _email_like(low: str) -> bool:
+    """Whether a line has what every written e-mail address has: an at-sign, or a spoken one and a spoken dot."""
+    return "@" in low or bool(_AT_SEEN.search(low)) or (_has(low, DOT_PARTS) and bool(_SPOKEN_AT_SEEN.search(low)))
+
+
 def _numbers(line: str, low: str, taken: list[Span]) -> None:
     for m in _ID.finditer(line) if _has(low, ID_PARTS) else ():
         value = m.group("v")
@@ -207,7 +256,7 @@ def _names(line: str, low: str, taken: list[Span]) -> None:
 
 
 def _emails(line: str, low: str, taken: list[Span]) -> None:
-    for m in _EMAIL.finditer(line) if _has(low, EMAIL_PARTS) else ():
+    for m in _EMAIL.finditer(line) if _email_like(low) else ():
         taken.append(Span(*m.span(), "email", 3))
 
 
@@ -229,7 +278,7 @@ def _remembered(line: str) -> tuple[Span, ...]:
 
 
 def _judge(line: str) -> tuple[Span, ...]:
-    low = line.lower()
+    low = _folded(line)
     taken: list[Span] = []
     _emails(line, low, taken)
     if _DIGIT.search(line):

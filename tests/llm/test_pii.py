@@ -1,3 +1,5 @@
+from itertools import product
+
 import pytest
 
 from tallyloom.llm import pii
@@ -95,3 +97,29 @@ def test_tables(spark):
     assert red[1] == ("Photo: [PERSON_NAME], printed at [STREET_ADDRESS].\nText me [PHONE], [PHONE]", 4)
     assert red[2] == (None, 0) and red[3] == ("", 0)
     assert pii.find(docs.limit(0)).count() == 0
+
+
+UNSPARED = {
+    "email": ["jan at beispiel (punkt) de", "maria at ejemplo [punto] es", "x at y {dot} com", "a { at } b.de", "a ( ät ) b.de", "a (\tAT) b.de", "x at y poİnt fr"],
+    "person_name": ["issued to: Jane Roe", "write to: Jane Roe", "questions go to| Jane Roe", "lettre de Jane Roe", "it belongs to=Jane Roe", "Jane Roe,is a liar", "lıves nowhere, miſſ; Jane Roe LİVES IN x"],
+}
+
+
+@pytest.mark.parametrize(("kind", "text"), [(k, t) for k, texts in UNSPARED.items() for t in texts])
+def test_filter_spares_no_match(kind, text):
+    assert kind in [s.kind for s in pii.spans(text)]
+
+
+def test_filters_never_change_what_is_found(monkeypatch):
+    ats = [f"{b[0]}{s}{w}{s}{b[1]}" for b, s, w in product(("()", "[]", "{}"), ("", " "), ("at", "ÄT", "Klammeraffe"))] + [" at ", " Arroba ", "@"]
+    dots = [f"{b[0]}{s}{w}{s}{b[1]}" for b, s, w in product(("()", "[]", "{}"), ("", " "), ("dot", "Punkt", "punto"))] + [" point ", "."]
+    lines = [f"jo{a}net{d}test" for a, d in product(ats, dots)]
+    cues = [t for p in (pii.BEFORE_NAMES, pii.AFTER_NAMES) for t, _ in pii._texts(p)[0]]
+    lines += [x for c in cues for x in (f"{c}: Jane Roe", f"{c.upper()} Jane Roe", f"{c}|Jane Roe", f"Jane Roe {c} x", f"Jane Roe,{c}")]
+    lines += [f"{t.upper() if up else t} no. 40771030" for t, _ in pii._texts(pii.ID_LABELS)[0] for up in (0, 1)]
+    lines += [f"12 {a} Rosen{w} 7 {a} {w} Rosen 7" for w in "st ave strasse straße str. weg rue av. c/ avda plaza am zum".split() for a in ("Alt", "")]
+    lines += [t for cases in CASES.values() for t, _ in cases]
+    spared = [pii._judge(x) for x in lines]
+    monkeypatch.setattr(pii, "_has", lambda low, parts: True)
+    monkeypatch.setattr(pii, "_email_like", lambda low: True)
+    assert spared == [pii._judge(x) for x in lines] and sum(map(bool, spared)) > 500
