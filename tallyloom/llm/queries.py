@@ -10,7 +10,7 @@ from tallyloom.llm import leakage, nearest, packing, pii, survivors
 from tallyloom.session import table
 
 _KEYS = ("token_address", "chain_id")
-_FIELDS = ("name", "fee_recipient_address")
+_FIELDS = ("name", "fee_recipient_address", "source")
 TOLERANCE_US = 20 * 60 * 1_000_000
 
 
@@ -21,7 +21,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_survivors(spark: SparkSession, d: str) -> DataFrame:
     """One record per contract by summed votes: trust, halved for every 90 days of age."""
-    won = survivors.winners(survivors.token_votes(table(spark, d, "tokens")), _KEYS, half_life_days=90.0)
+    won = survivors.winners(survivors.token_votes(table(spark, d, "tokens"), with_source=True), _KEYS, half_life_days=90.0)
     return survivors.survivors(won, _KEYS, _FIELDS)
 
 

@@ -55,7 +55,8 @@ def winners(votes: DataFrame, keys: Sequence[str], half_life_days: float | None
     """The winning value and the row that supplies it, per group and field: keys, field, value, row_id, n_rows.
 
     With ``half_life_days`` a row's vote is its trust halved for every half-life of age against the group-independent
-    epoch, votes of rows with the same value in lower case are summed and the largest sum wins. Without it votes are
+    epoch, votes of rows with the same value in lower case are summed and the largest sum wins; sums that agree in 12
+    significant digits are equal. Doubles hold votes up to about 1,000 half-lives before 2030. Without it votes are
     ranked and not summed: trust, then time, then row id, so one trusted row outvotes any number of others. Ties fall
     to the later time, then the larger row id. A group whose values are all unusable has a row with nulls.
     """
@@ -69,7 +70,8 @@ def winners(votes: DataFrame, keys: Sequence[str], half_life_days: float | None
         age = (F.lit(1_893_456_000) - F.unix_seconds("seen_at")) / F.lit(86_400.0 * half_life_days)
         weight = F.sum(F.coalesce(F.col("trust") * F.pow(F.lit(0.5), age), F.lit(0.0)))
     best = per_value.agg(weight.alias("vote"), F.max(rank).alias("best"), F.max_by("value", rank).alias("value"), F.count("*").alias("n"))
-    order = F.when(F.col("shape").isNotNull(), F.struct(F.round("vote", 12), "best"))
+    size = F.col("vote") if half_life_days is None else F.format_string("%.11e", "vote").cast("double")
+    order = F.when(F.col("shape").isNotNull(), F.struct(size, "best"))
     return best.groupBy(*keys, "field").agg(
         F.max_by("value", order).alias("value"), F.max_by("best.row_id", order).alias("row_id"), F.sum("n").alias("n_rows")
     )
@@ -83,6 +85,10 @@ def survivors(won: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> Dat
     return won.groupBy(*keys).agg(F.max("n_rows").alias("n_rows"), *pick)
 
 
-def token_votes(tokens: DataFrame) -> DataFrame:
+def token_votes(tokens: DataFrame, with_source: bool = False) -> DataFrame:
+    """Votes of the rows of tokens on name and fee recipient and, if asked for, on the source."""
     keys = {"token_address": address("token_address"), "chain_id": F.col("chain_id")}
-    return long_votes(tokens, keys, "token_row_id", trust_of("source"), "ingested_at", {"name": usable_text("name"), "fee_recipient_address": usable_address("fee_recipient_address")})
+    fields = {"name": usable_text("name"), "fee_recipient_address": usable_address("fee_recipient_address")}
+    if with_source:
+        fields["source"] = usable_text("source")
+    return long_votes(tokens, keys, "token_row_id", trust_of("source"), "ingested_at", fields)

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+from tallyloom.llm import queries
 from tallyloom.llm import survivors as s
 
 T = lambda n: datetime(2025, 1, n)
@@ -46,3 +47,19 @@ def test_pivot_back(spark):
     votes = s.token_votes(spark.createDataFrame([(1, "t", 1, "A", A, "x", T(1), "f", 0), (2, "t", 1, "none", None, "x", T(2), "f", 0)], SCHEMA))
     rows = s.survivors(s.winners(votes, KEYS), KEYS, ("name", "fee_recipient_address")).collect()
     assert [(r.name, r.name_row_id, r.fee_recipient_address_row_id, r.n_rows) for r in rows] == [("A", 1, 1, 2)]
+
+
+def test_old_votes_still_count(spark):
+    at = datetime(2001, 1, 1)
+    data = [(n, "t", 1, "a", None, "x", at) for n in range(1, 5)] + [(9, "t", 1, "B", None, "dune_robinhood", at)]
+    assert won(spark, data, 90.0)["t", 1, "name"] == ("a", 4, 5)
+    tied = [(n, "t", 1, "a", None, "x", at) for n in range(1, 4)] + [(9, "t", 1, "B", None, "dune_robinhood", at)]
+    assert won(spark, tied, 90.0)["t", 1, "name"] == ("B", 9, 4)
+
+
+def test_source_is_voted_on_and_kept(spark, tmp_path):
+    data = [(1, "t", 1, "A", None, " Bankr_API\n", T(1)), (2, "t", 1, "A", None, "n/a", T(2)), (3, "t", 1, "A", None, "bankr_api", T(3)), (4, "t", 1, "A", None, "dune_robinhood", T(3)), (5, "u", 1, "A", None, None, T(3))]
+    spark.createDataFrame([(*r, "x", 1) for r in data], SCHEMA).write.parquet(str(tmp_path / "tokens.parquet"))
+    got = {r.token_address: (r.source, r.source_row_id, r["name"]) for r in queries.p2_survivors(spark, str(tmp_path)).collect()}
+    assert got == {"t": ("bankr_api", 3, "A"), "u": (None, None, "A")}
+    assert {r.field for r in queries.p2_found(spark, str(tmp_path)).collect()} == {"name"}
