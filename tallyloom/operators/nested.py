@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tallyloom.functions.stages import settled
 from tallyloom.functions.text import address, blank_to_null, whole
 
-#: How many layers of JSON text inside JSON text are unfolded.
-LAYERS = 3
+#: How many layers are opened wherever an object is expected. A layer is one JSON text, one array, or a text of an array.
+LAYERS = 8
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -34,39 +34,45 @@ def unfold(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == "STRING", parse(F.try_variant_get(v, "$", "string"))).otherwise(v)
 
 
-def elements(v: Column) -> Column:
-    """array of struct(pos, v): the elements of an array, or the single value at position 0. Null gives null."""
-    one = F.array(F.struct(F.lit(0).alias("pos"), v.alias("v")))
-    many = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda e, i: F.struct(i.alias("pos"), unfold(e).alias("v")))
-    return F.when(F.startswith(F.schema_of_variant(v), F.lit("ARRAY")), many).when(v.isNotNull(), one)
+def item(up: Column, pos: Column, single: Column, closed: Column, v: Column) -> Column:
+    return F.struct(up.alias("up"), pos.alias("pos"), single.alias("single"), closed.alias("closed"), v.alias("v"))
+
+
+def spread(items: Column) -> Column:
+    """Open JSON texts and arrays, in any order and in each other, until only objects and plain values are left.
+
+    ``items`` is an array of :func:`item`: ``pos`` is the position in the outermost array met, 0 if there is none;
+    ``single`` tells that none was met, ``closed`` that nothing is left to open. Nulls and texts that are no JSON go.
+    """
+
+    def opened_one(t: Column) -> Column:
+        def by_kind(v: Column, kind: Column) -> Column:
+            members = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda e, i: item(t["up"], F.when(t["single"], i).otherwise(t["pos"]), F.lit(False), F.lit(False), e))
+            return F.when(F.startswith(kind, F.lit("ARRAY")), members).when(v.isNotNull(), F.array(item(t["up"], t["pos"], t["single"], kind != "STRING", v)))
+
+        rest = let(unfold(t["v"]), lambda v: let(F.schema_of_variant(v), lambda kind: by_kind(v, kind)))
+        return F.when(t["closed"], F.array(item(t["up"], t["pos"], t["single"], t["closed"], t["v"]))).otherwise(rest)
+
+    for _ in range(LAYERS):
+        items = F.flatten(F.filter(F.transform(items, opened_one), lambda a: a.isNotNull()))
+    return items
 
 
 def opened(df: DataFrame, text: str) -> DataFrame:
-    """Add ``tops``: the payload as an array of struct(pos, v), with every layer of JSON text unfolded."""
+    """Add ``tops``: the payload as an array of items, with its JSON texts and arrays opened."""
     df = settled(df, {"top": parse(F.col(text))})
-    for _ in range(LAYERS):
-        df = settled(df, {"top": unfold(F.col("top"))})
-    return settled(df, {"tops": elements(F.col("top"))}).drop("top")
+    whole_one = item(F.lit(0), F.lit(0), F.lit(True), F.lit(False), F.col("top"))
+    return settled(df, {"tops": spread(F.array(whole_one))}).drop("top")
 
 
 def below(df: DataFrame, outer: str) -> DataFrame:
-    """Replace ``tops`` by the objects under ``outer``: array of struct(pos, up, single, v), one level down.
+    """Replace ``tops`` by the items under ``outer``, one level down.
 
     ``pos`` is the position in an array under ``outer``, ``up`` that of the ancestor and ``single`` tells that no
     array stood there.
     """
-    held = F.transform("tops", lambda t: F.struct(t["pos"].alias("up"), child(t["v"], outer).alias("v")))
-    df = settled(df, {"held": held})
-    for _ in range(LAYERS - 1):
-        df = settled(df, {"held": F.transform("held", lambda t: F.struct(t["up"].alias("up"), unfold(t["v"]).alias("v")))})
-    spread = F.transform(
-        "held",
-        lambda t: F.transform(
-            elements(t["v"]),
-            lambda e: F.struct(e["pos"].alias("pos"), t["up"].alias("up"), (~F.startswith(F.schema_of_variant(t["v"]), F.lit("ARRAY"))).alias("single"), e["v"].alias("v")),
-        ),
-    )
-    return settled(df, {"tops": F.flatten(F.filter(spread, lambda a: a.isNotNull()))}).drop("held")
+    held = F.transform("tops", lambda t: item(t["pos"], F.lit(0), F.lit(True), F.lit(False), child(t["v"], outer)))
+    return settled(df, {"tops": spread(held)})
 
 
 def child(v: Column, name: str) -> Column:

@@ -47,3 +47,24 @@ def test_list_positions(spark):
 
 def test_empty_table(spark):
     assert got(spark, [], outer="user", name="fid") == []
+
+
+def layers(v, n):
+    for _ in range(n):
+        v = json.dumps(v)
+    return v
+
+
+def test_arrays_in_arrays_and_deep_text(spark):
+    one = {"fid": 5}
+    data = [
+        (1, json.dumps({"user": [[one, {"fid": 6}], [[{"fid": 7}]], {"fid": 8}]}), "x"),
+        (2, json.dumps({"user": layers(one, 6)}), "x"),
+        (3, json.dumps({"user": [None, layers(one, 6)]}), "x"),
+        (4, layers([[{"user": one}], {"user": layers([layers([one], 2)], 2)}], 3), "x"),
+        (5, json.dumps({"user": [[], [None, "no json", 3], layers([one, one], 1)]}), "x"),
+    ]
+    want = [(1, 0, "5"), (1, 0, "6"), (1, 1, "7"), (1, 2, "8"), (2, 0, "5"), (3, 1, "5"), (4, 0, "5"), (5, 2, "5")]
+    assert [x for x in got(spark, data, outer="user", name="fid")] == want
+    page = {"launches": [[{"d": {"w": "a"}}], {"d": [[{"w": "b"}], layers([{"w": "c"}], 3)]}, layers([[{"d": {"w": "e"}}]], 4)]}
+    assert got(spark, [(1, json.dumps(page), "x")], items="launches", outer="d", name="w") == [(1, 0, "a"), (1, 1, "b"), (1, 1, "c"), (1, 2, "e")]
