@@ -2,7 +2,8 @@
 
 Regular expressions propose spans, checksums (Luhn, mod 97) confirm numbers that nothing else explains, and words close
 by raise or lower the score of each span; spans that reach their threshold are kept. Everything is decided inside one
-line, so a line is judged once per worker however many revisions repeat it. Only found values leave the scan.
+line and the e-mail addresses and phone numbers close to it on other lines, so a line is judged once per worker however
+many revisions repeat it. Only found values leave the scan.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from tallyloom.session import ship
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
 #: Judged lines a Python worker remembers, and the longest of them in characters.
 REMEMBERED, REMEMBERED_CHARS = 100_000, 1_000
-#: How close, in characters, another find counts as evidence for a name.
-NEAR = 90
+#: How close, in characters, another find counts as evidence for a name, and the kinds that count across line breaks.
+NEAR, CONTACTS = 90, ("email", "phone")
 
 # ---- fixed values: words of English, German, French and Spanish that surround or make up personal data ----
 ID_LABELS = r"""passport|passeport|pasaporte|reisepass(?:nummer)?|identity\ card|id\ card|national\ id(?:entity)?|identity\ number|ni\ number|national\ insurance
@@ -214,8 +215,8 @@ def _numbers(line: str, low: str, taken: list[Span]) -> None:
                 taken.append(Span(start, end, "phone", score))
 
 
-def _names(line: str, low: str, taken: list[Span]) -> None:
-    evidence = [s for s in taken]
+def _names(line: str, low: str, taken: list[Span], outside: tuple[Span, ...] = ()) -> None:
+    evidence = [*taken, *outside]
     if not evidence and not _has(low, NAME_PARTS) and not _TITLE_ANY.search(line):
         return
     found: list[Span] = []
@@ -248,7 +249,9 @@ def _names(line: str, low: str, taken: list[Span]) -> None:
             score -= 5
         if re.match(r"\s*&", after) or re.search(r"&\s*$", before) or _SHIP.search(before) or (before.endswith("''") and after.startswith("''")):
             score -= 5
-        if score >= 3:
+        # a contact alone speaks for no shouted words, no amounts ("50 Tonnen Salz") and no markup
+        plain = not value.isupper() and "''" not in value and not re.search(r"\d\s*$", before)
+        if score >= 3 or (score >= 2 and plain and any(s.kind in CONTACTS for s in near)):
             found.append(Span(start, end, "person_name", score))
         elif score >= -1:
             at = start + len(value.split(" ")[0]) if " " in value else end
@@ -267,17 +270,20 @@ def _streets(line: str, low: str, taken: list[Span]) -> None:
                 taken.append(Span(*m.span(), "street_address", 3))
 
 
-def line_spans(line: str) -> tuple[Span, ...]:
-    """The kept spans of one line of any length in order of place; they never overlap."""
-    return _remembered(line) if len(line) <= REMEMBERED_CHARS else _judge(line)
+def line_spans(line: str, outside: tuple[Span, ...] = ()) -> tuple[Span, ...]:
+    """The kept spans of one line of any length in order of place; they never overlap.
+
+    ``outside`` are contacts on other lines, with places counted from the start of this line.
+    """
+    return _remembered(line, outside) if len(line) <= REMEMBERED_CHARS else _judge(line, outside)
 
 
 @lru_cache(maxsize=REMEMBERED)
-def _remembered(line: str) -> tuple[Span, ...]:
-    return _judge(line)
+def _remembered(line: str, outside: tuple[Span, ...]) -> tuple[Span, ...]:
+    return _judge(line, outside)
 
 
-def _judge(line: str) -> tuple[Span, ...]:
+def _judge(line: str, outside: tuple[Span, ...] = ()) -> tuple[Span, ...]:
     low = _folded(line)
     taken: list[Span] = []
     _emails(line, low, taken)
@@ -285,15 +291,40 @@ def _judge(line: str) -> tuple[Span, ...]:
         _streets(line, low, taken)
         _numbers(line, low, taken)
     taken = [s for i, s in enumerate(taken) if _free(taken[:i], s.start, s.end)]
-    _names(line, low, taken)
+    _names(line, low, taken, outside)
     return tuple(sorted(taken))
 
 
+def _outside(lines: list[str], found: list[tuple[Span, ...]]) -> dict[int, list[Span]]:
+    """Per line that has contacts of other lines within ``NEAR`` characters: these contacts, placed from its start."""
+    out: dict[int, list[Span]] = {}
+    for i, spans_here in enumerate(found):
+        for s in spans_here:
+            if s.kind not in CONTACTS:
+                continue
+            start, j = s.start, i  # how far line j starts before the contact
+            while j > 0 and start + 1 < NEAR:
+                j -= 1
+                gap, start = start + 1, start + 1 + len(lines[j])
+                if lines[j] and gap < NEAR:
+                    out.setdefault(j, []).append(Span(start, start + s.end - s.start, s.kind, s.score))
+            end, j = len(lines[i]) - s.end + 1, i + 1  # how far line j starts behind the contact
+            while j < len(lines) and end < NEAR:
+                if lines[j]:
+                    out.setdefault(j, []).append(Span(-end - (s.end - s.start), -end, s.kind, s.score))
+                end, j = end + len(lines[j]) + 1, j + 1
+    return out
+
+
 def spans(text: str) -> Iterator[Span]:
     """Spans of a whole text of any length, with places in that text."""
+    lines = text.split("\n")
+    found = [line_spans(line) if line else () for line in lines]
+    for i, near in _outside(lines, found).items():
+        found[i] = line_spans(lines[i], tuple(near))
     at = 0
-    for line in text.split("\n"):
-        for s in line_spans(line) if line else ():
+    for line, kept in zip(lines, found, strict=True):
+        for s in kept:
             yield Span(s.start + at, s.end + at, s.kind, s.score)
         at += len(line) + 1
 
