@@ -8,19 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tallyloom.operators.skew import neighbour
 
-def nearest_forward(first: DataFrame, ops: DataFrame, tx: str, first_index: str, op_index: str, take: Sequence[str]) -> DataFrame:
+#: Indices of one slice of a transaction or group; a longer one is scanned slice by slice.
+SLICE = 65_536
+
+
+def nearest_forward(first: DataFrame, ops: DataFrame, tx: str, first_index: str, op_index: str, take: Sequence[str], width: int | None = None) -> DataFrame:
     """For each row of ``first`` the operation of the same transaction with the smallest greater index, or nulls.
 
-    One window over the union of both sides, so pairs are never formed: the nearest later operation of each row is
-    the first operation that follows it in the order of indices.
+    One descending scan over the union of both sides, so pairs are never formed and a row is never looked at twice. Of
+    operations with one index the least in ``take`` counts; a null transaction matches nothing.
     """
-    marks = first.select(tx, F.col(first_index).alias("idx"), F.struct(*first.columns).alias("own"), F.lit(None).alias("op"), F.lit(1).alias("kind"))
     op = F.struct(F.col(op_index).alias("op_index"), *[F.col(c) for c in take])
+    marks = first.select(tx, F.col(first_index).alias("idx"), F.struct(*first.columns).alias("own"), F.lit(None).alias("op"), F.lit(1).alias("kind"))
     others = ops.select(tx, F.col(op_index).alias("idx"), F.lit(None).alias("own"), op.alias("op"), F.lit(0).alias("kind"))
-    w = W.partitionBy(tx).orderBy("idx", "kind").rowsBetween(1, W.unboundedFollowing)
-    joined = marks.unionByName(others).withColumn("next_op", F.first("op", ignorenulls=True).over(w)).where("kind = 1")
-    return joined.select("own.*", "next_op.*")
+    both = marks.unionByName(others)
+    joined = neighbour(both, [tx], [F.col("idx"), F.col("kind"), F.col("op")], "op", F.floor(F.col("idx") / (width or SLICE)), True, "next_op")
+    return joined.where("kind = 1").select("own.*", "next_op.*")
 
 
 def windows(starts: DataFrame, group: str, index: str) -> DataFrame:
@@ -28,15 +33,16 @@ def windows(starts: DataFrame, group: str, index: str) -> DataFrame:
     return starts.withColumn("next_index", F.lead(index).over(W.partitionBy(group).orderBy(index)))
 
 
-def inside_windows(events: DataFrame, starts: DataFrame, group: str, index: str, take: Sequence[str]) -> DataFrame:
+def inside_windows(events: DataFrame, starts: DataFrame, group: str, index: str, take: Sequence[str], width: int | None = None) -> DataFrame:
     """The start whose open interval holds each event, by one ordered scan of both; events before any start are left
-    out, as is an event at the very index of a start."""
+    out, as is an event at the very index of a start. Of starts with one index the greatest in ``take`` counts; a null
+    group holds nothing."""
     held = F.struct(F.col(index).alias("start_index"), *[F.col(c) for c in take])
-    marks = starts.select(group, F.col(index).alias("idx"), held.alias("held"), F.lit(None).alias("event"))
-    rows = events.select(group, F.col(index).alias("idx"), F.lit(None).alias("held"), F.struct(*events.columns).alias("event"))
-    w = W.partitionBy(group).orderBy("idx").rangeBetween(W.unboundedPreceding, 0)
-    joined = marks.unionByName(rows).withColumn("in_start", F.last("held", ignorenulls=True).over(w)).where("event is not null and in_start is not null and in_start.start_index < idx")
-    return joined.select("event.*", "in_start.*")
+    marks = starts.select(group, F.col(index).alias("idx"), held.alias("held"), F.lit(None).alias("event"), F.lit(0).alias("kind"))
+    rows = events.select(group, F.col(index).alias("idx"), F.lit(None).alias("held"), F.struct(*events.columns).alias("event"), F.lit(1).alias("kind"))
+    both = marks.unionByName(rows)
+    joined = neighbour(both, [group], [F.col("idx"), F.col("kind"), F.col("held")], "held", F.floor(F.col("idx") / (width or SLICE)), False, "in_start")
+    return joined.where("kind = 1 and in_start is not null and in_start.start_index < idx").select("event.*", "in_start.*")
 
 
 def attribute(buys: DataFrame, engagements: DataFrame, keys: Sequence[str], days: int) -> DataFrame:

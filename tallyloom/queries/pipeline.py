@@ -23,11 +23,9 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     buys = table(spark, d, "buys").select(F.col("buy_id").alias("row_id"), address("token_address").alias("token"), "chain_id", seen)
     attributions = table(spark, d, "attributions").select(F.col("attribution_id").alias("row_id"), F.col("author_fid").alias("fid"), seen)
     deployments = table(spark, d, "deployments").select(F.col("deployment_id").alias("row_id"), "fid", seen)
-    found = [
-        references.orphan_rows(buys, tokens, ["token", "chain_id"]).withColumn("ref_table", F.lit("buys")),
-        references.orphan_rows(attributions, accounts, ["fid"]).withColumn("ref_table", F.lit("attributions")),
-        references.orphan_rows(deployments, accounts, ["fid"]).withColumn("ref_table", F.lit("deployments")),
-    ]
+    by_token, by_fid = references.known_parents(tokens, ["token", "chain_id"]), references.known_parents(accounts, ["fid"])
+    children = (("buys", buys, by_token, ["token", "chain_id"]), ("attributions", attributions, by_fid, ["fid"]), ("deployments", deployments, by_fid, ["fid"]))
+    found = [references.orphan_rows(refs, known, keys).withColumn("ref_table", F.lit(name)) for name, refs, known, keys in children]
     rows = reduce(DataFrame.unionByName, found)
     return rows.select("ref_table", "row_id", utc_month("seen_at").alias("period"), "reason")
 
@@ -37,9 +35,10 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    trades = table(spark, d, "trades").select(address("token_address").alias("k"))
-    tokens = table(spark, d, "tokens").select(F.col("chain_id").cast("string").alias("k"))
-    parts = [heavykeys.heavy_keys(df, "k").select(F.lit(name).alias("source_table"), "key_value") for name, df in (("trades", trades), ("tokens", tokens))]
+    """Keys with at least 4 % of all rows: those whose median time the selection operator finds among the heavy keys."""
+    trades = table(spark, d, "trades").select(address("token_address").alias("k"), F.coalesce(F.unix_micros("block_time"), F.lit(0)).alias("us"))
+    tokens = table(spark, d, "tokens").select(F.col("chain_id").cast("string").alias("k"), F.coalesce(F.unix_micros("ingested_at"), F.lit(0)).alias("us"))
+    parts = [heavykeys.quantiles(df, "k", "us", (0.5,), share=25).select(F.lit(name).alias("source_table"), "key_value") for name, df in (("trades", trades), ("tokens", tokens))]
     return parts[0].unionByName(parts[1])
 
 
@@ -66,43 +65,34 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct events in two parts by brand: all deliveries of an event name the same brand, so none is in both."""
     rows = table(spark, d, "brand_engagements")
-    return features.distinct_events(rows, "engager_fid", "engagement", ("brand_fid", "cast_hash", "target_cast_hash"), "engaged_at", "weight")
+    events = features.distinct_events(rows, "engager_fid", "engagement", ("brand_fid", "cast_hash", "target_cast_hash"), "engaged_at", "weight")
+    return events.withColumn("part", F.pmod(F.xxhash64("same_0"), F.lit(2)))
 
 
-def _vectors(spark: SparkSession, d: str) -> DataFrame:
-    return features.entity_vectors(_events(spark, d))
+def _vectors(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The merged vectors of every engager and the index of kinds. The table is read once."""
+    counts = cut(features.kind_counts(_events(spark, d)))
+    index = cut(features.kind_index(counts))
+    return features.merge_vectors(features.entity_vectors(counts, index)), index
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    long = features.long_features(_vectors(spark, d))
-    return long.select(F.col("entity").alias("engager_fid"), F.col("kind").alias("engagement"), F.col("n").alias("n_events"))
-
-
-def p6_features(spark: SparkSession, d: str) -> DataFrame:
-    wide = features.wide_features(_vectors(spark, d), ("like", "recast", "reply", "mention"))
-    return plain(wide.withColumnRenamed("entity", "engager_fid"))
+    return features.long_features(*_vectors(spark, d)).select(F.col("entity").alias("engager_fid"), F.col("kind").alias("engagement"), F.col("n").alias("n_events"))
 
 
 def p6_kinds(spark: SparkSession, d: str) -> DataFrame:
-    """Count, total and latest time of every kind an engager has, from the merged vectors of two parts of the brands.
-
-    All deliveries of an event name the same brand, so none is in both parts.
-    """
-    events = cut(_events(spark, d))
-    index = cut(features.kind_index(events))
-    first = F.pmod(F.xxhash64("same_0"), F.lit(2)) == 0
-    merged = features.merge_vectors(*[features.entity_vectors(events.where(part), index) for part in (first, ~first)])
-    long = features.long_features(merged).withColumnsRenamed({"entity": "engager_fid", "kind": "engagement", "n": "n_events"})
+    """Count, total and latest time of every kind an engager has."""
+    long = features.long_features(*_vectors(spark, d)).withColumnsRenamed({"entity": "engager_fid", "kind": "engagement", "n": "n_events"})
     return plain(long)
 
 
-def p6_table(spark: SparkSession, d: str) -> DataFrame:
+def p6_features(spark: SparkSession, d: str) -> DataFrame:
     """One row per engager with the columns of every kind in the table; only the names of the kinds are collected."""
-    events = cut(_events(spark, d))
-    index = cut(features.kind_index(events))
-    kinds = [r["kind"] for r in index.select("kind_no", "kind").orderBy("kind_no").collect()]
-    return plain(features.wide_features(features.entity_vectors(events, index), kinds).withColumnRenamed("entity", "engager_fid"))
+    vectors, index = _vectors(spark, d)
+    kinds = [r["kind"] for r in index.orderBy("kind_no").collect()]
+    return plain(features.wide_features(vectors, kinds).withColumnRenamed("entity", "engager_fid"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -120,7 +110,7 @@ def p7_feeds(spark: SparkSession, d: str) -> DataFrame:
     return instants.feed_errors(rows, "feed_tz", "ingested_at", ZONES)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_quantiles, p3_chains, p5_found, p6_found, p6_features, p6_kinds, p6_table, p7_found, p7_feeds)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_quantiles, p3_chains, p5_found, p6_found, p6_features, p6_kinds, p7_found, p7_feeds)}
 
 _A = lambda c: f"lower({sql_strip(c)})"
 _P1 = f"""
@@ -164,14 +154,4 @@ SQL = {
         + "SELECT engager_fid, engagement, count(*) AS n_events, round(CAST(sum(CAST(coalesce(w, 0) AS DECIMAL(30,6))) AS DOUBLE), 6) AS total, max(last_at) AS latest FROM e GROUP BY ALL",
         ("latest",),
     ),
-    "p6_features": plain_sql(
-        _P6
-    + "SELECT engager_fid, "
-    + ", ".join(
-        f"count(*) FILTER (engagement = '{k}') AS n_{k}, coalesce(round(CAST(sum(CAST(coalesce(w, 0) AS DECIMAL(30,6))) FILTER (engagement = '{k}') AS DOUBLE), 6), 0) AS total_{k}, max(last_at) FILTER (engagement = '{k}') AS latest_{k}"
-        for k in ("like", "recast", "reply", "mention")
-    )
-    + " FROM e GROUP BY engager_fid",
-        tuple(f"latest_{k}" for k in ("like", "recast", "reply", "mention")),
-    ),
 }

@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from oracle import TABLES
 from tallyloom.operators import features as f
@@ -12,7 +13,10 @@ SCHEMA = "who bigint, kind string, brand bigint, a string, b string, at timestam
 
 def vectors(spark, data):
     df = spark.createDataFrame(data, SCHEMA)
-    return f.entity_vectors(f.distinct_events(df, "who", "kind", ("brand", "a", "b"), "at", "w"))
+    events = f.distinct_events(df, "who", "kind", ("brand", "a", "b"), "at", "w").withColumn("part", F.coalesce(F.col("same_0"), F.lit("")))
+    counts = f.kind_counts(events)
+    index = f.kind_index(counts)
+    return f.entity_vectors(counts, index), index
 
 
 DATA = [
@@ -29,29 +33,33 @@ DATA = [
 
 
 def test_vectors(spark):
-    got = sorted((r.entity, r.kind, r.n, r.total, r.latest) for r in f.long_features(vectors(spark, DATA)).collect())
+    parts, index = vectors(spark, DATA)
+    got = sorted((r.entity, r.kind, r.n, r.total, r.latest) for r in f.long_features(f.merge_vectors(parts), index).collect())
     assert got == [(1, "tap.feed", 2, 1.5, T(3)), (1, "tap.feed.bot", 1, 0.0, T(2)), (2, "like", 1, 2.0, None)]
 
 
 def test_wide_and_merge(spark):
-    v = vectors(spark, DATA)
-    wide = {r.entity: (r.n_like, r.total_like, r.n_tap_feed, r.latest_tap_feed) for r in f.wide_features(v, ("like", "tap.feed")).collect()}
+    parts, index = vectors(spark, DATA)
+    v = f.merge_vectors(parts)
+    kinds = [r.kind for r in index.orderBy("kind_no").collect()]
+    wide = {r.entity: (r.n_like, r.total_like, r.n_tap_feed, r.latest_tap_feed) for r in f.wide_features(v, kinds).collect()}
     assert wide == {1: (0, 0.0, 2, T(3)), 2: (1, 2.0, 0, None)}
-    doubled = {(r.entity, r.kind): r.n for r in f.long_features(f.merge_vectors(v, v)).collect()}
+    doubled = {(r.entity, r.kind): r.n for r in f.long_features(f.merge_vectors(v.unionByName(v)), index).collect()}
     assert doubled == {(1, "tap.feed"): 4, (1, "tap.feed.bot"): 2, (2, "like"): 2}
 
 
 def test_empty(spark):
-    assert vectors(spark, []).count() == 0
+    assert f.merge_vectors(vectors(spark, [])[0]).count() == 0
 
 
 def test_parts_merge_into_the_vectors_of_the_whole(spark):
     data = [*DATA, (1, "like", 6, None, None, T(4), 0.25, "x"), (1, "like", 7, None, None, T(5), 0.5, "x"), (2, "zap", 6, None, None, T(5), 0.1, "x")]
     events = f.distinct_events(spark.createDataFrame(data, SCHEMA), "who", "kind", ("brand", "a", "b"), "at", "w")
-    index = f.kind_index(events)
-    parts = [f.entity_vectors(events.where(c), index) for c in ("same_0 = '6'", "same_0 <> '6'")]
-    both = lambda v: sorted(map(tuple, f.long_features(v).collect()), key=str)
-    assert both(f.merge_vectors(*parts)) == both(f.entity_vectors(events))
+    index = f.kind_index(f.kind_counts(events))
+    parts, whole = [f.entity_vectors(f.kind_counts(e), index) for e in (events.withColumn("part", F.col("same_0")), events)]
+    assert parts.count() > whole.count()
+    both = lambda v: sorted(map(tuple, f.long_features(v, index).collect()), key=str)
+    assert both(f.merge_vectors(parts)) == both(whole)
 
 
 @pytest.mark.skipif(not TABLES.exists(), reason="no tables")
@@ -60,7 +68,7 @@ def test_every_kind_comes_out_with_all_its_figures(spark):
     found = {(r.engager_fid, r.engagement): r.n_events for r in pipeline.p6_found(spark, str(TABLES)).collect()}
     long = {(r.engager_fid, r.engagement): (r.n_events, r.total, r.latest) for r in pipeline.p6_kinds(spark, str(TABLES)).collect()}
     assert {k: v[0] for k, v in long.items()} == found and len({k for _, k in found}) > 4
-    table = pipeline.p6_table(spark, str(TABLES))
+    table = pipeline.p6_features(spark, str(TABLES))
     kinds = sorted({k for _, k in found})
     groups = [[f"{g}_{k.replace('.', '_')}" for g in ("n", "total", "latest")] for k in kinds]
     assert sorted(table.columns) == sorted(["engager_fid", *[c for g in groups for c in g]])

@@ -2,14 +2,15 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators.references import orphan_report, orphan_rows
+from tallyloom.operators import skew
+from tallyloom.operators.references import known_parents, orphan_report, orphan_rows
 
 T = lambda n: datetime(2025, 1, n)
 REFS, PARENTS = "k bigint, c bigint, row_id bigint, seen_at timestamp, none string", "k bigint, c bigint, seen_at timestamp, deleted_at timestamp"
 
 
 def found(spark, refs, parents):
-    out = orphan_rows(spark.createDataFrame(refs, REFS), spark.createDataFrame(parents, PARENTS), ["k", "c"])
+    out = orphan_rows(spark.createDataFrame(refs, REFS), known_parents(spark.createDataFrame(parents, PARENTS), ["k", "c"]), ["k", "c"])
     return sorted((r.row_id, r.reason) for r in out.collect())
 
 
@@ -38,10 +39,13 @@ def test_empty_tables(spark):
     assert found(spark, [], [(1, 1, T(1), None)]) == []
 
 
-def test_a_hot_key_is_whole(spark):
-    refs = spark.range(60_000).select((F.col("id") % 3 * 0 + 7).alias("k"), F.lit(1).cast("bigint").alias("c"), F.col("id").alias("row_id"), F.lit(T(1)).alias("seen_at"))
-    parents = spark.createDataFrame([(8, 1, T(1), None)], PARENTS)
-    out = orphan_rows(refs, parents, ["k", "c"])
+def test_a_hot_key_is_whole_and_spread_by_its_size(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PORTION", 5_000)
+    refs = spark.range(60_000).select(F.when(F.col("id") % 12 < 11, 7).otherwise(F.col("id")).cast("bigint").alias("k"), F.lit(1).cast("bigint").alias("c"), F.col("id").alias("row_id"), F.lit(T(1)).alias("seen_at"))
+    hot = skew.hot_keys(refs.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n").collect()
+    assert [(r.k, r.salt_n) for r in hot] == [(7, 11)]
+    known = known_parents(spark.createDataFrame([(8, 1, T(1), None)], PARENTS), ["k", "c"])
+    out = orphan_rows(refs, known, ["k", "c"])
     assert out.count() == 60_000 and out.select("row_id").distinct().count() == 60_000
 
 

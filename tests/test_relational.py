@@ -144,3 +144,31 @@ def test_upserts(spark):
     assert tuple(upsert.changes(old, new, ["k"]).first()) == (1, 1)
     edges = spark.createDataFrame([("0xA", "0xa", "t", 1), (None, "0xb", "t", 1), ("0xc", None, "t", 1)], "deployer_address string, fee_recipient_address string, token_address string, chain_id int")
     assert sorted((r.wallet, r.role) for r in upsert.role_edges(edges).collect()) == [("0xA", "deployer"), ("0xb", "fee_recipient"), ("0xc", "deployer")]
+
+
+def test_forward_match_of_one_hot_transaction(spark):
+    """All rows in one transaction: matched against brute force over several slices, and in about linear time."""
+    import time
+
+    def run(n, width):
+        first = spark.range(n).where("id % 3 = 0").select(F.lit("t").alias("tx"), F.col("id").alias("i"))
+        ops = spark.range(n).where("id % 7 = 5").select(F.lit("t").alias("tx"), F.col("id").alias("j"), F.col("id").cast("string").alias("s"))
+        began = time.perf_counter()
+        rows = match.nearest_forward(first, ops, "tx", "i", "j", ["s"], width).collect()
+        return rows, time.perf_counter() - began
+
+    rows, _ = run(300, 16)
+    ops = [j for j in range(300) if j % 7 == 5]
+    assert {r.i: r.op_index for r in rows} == {i: min((j for j in ops if j > i), default=None) for i in range(0, 300, 3)}
+    _, small = run(40_000, None)
+    rows, large = run(160_000, None)
+    assert len(rows) == 53_334 and large < 3 * max(small, 2)
+
+
+def test_starts_and_operations_without_a_transaction(spark):
+    first = spark.createDataFrame([(None, 1), ("t", 1), ("t", None)], "tx string, i int")
+    ops = spark.createDataFrame([(None, 2, "n"), ("t", 2, "b"), ("t", 2, "a")], "tx string, j int, s string")
+    got = sorted(((r.tx, r.i, r.op_index, r.s) for r in match.nearest_forward(first, ops, "tx", "i", "j", ["s"]).collect()), key=str)
+    assert (None, 1, None, None) in got and ("t", 1, 2, "a") in got and len(got) == 3
+    inside = match.inside_windows(ops, first, "tx", "i", []).select("j", "s", "start_index").collect()
+    assert [tuple(r) for r in inside if r.s == "n"] == []
