@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import address, sql_strip, utc_month
+from tallyloom.functions.text import address, blank_to_null, sql_strip, utc_month
 from tallyloom.operators import features, heavykeys, instants, nested, references
 from tallyloom.queries.views import plain, plain_sql
 from tallyloom.session import cut, table
@@ -54,14 +54,32 @@ def p3_chains(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("key_value").alias("chain_id"), "prob", "n_rows", F.col("quantile").cast("bigint").alias("ingested_us"))
 
 
+#: The objects that the queries take out of the payloads: table, id, and the targets by name.
+_CLANKER = {
+    "related.user.fid": nested.Target("related", ["user"], {"fid": ("fid", nested.fid_text)}),
+    "pool_config.pairedToken": nested.Target("pool_config", [], {"paired_token": ("pairedToken", nested.address_text)}),
+}
+_BANKR = {"deployer.walletAddress": nested.Target("payload", ["launches", "deployer"], {"wallet": ("walletAddress", nested.address_text)})}
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    clanker, bankr = table(spark, d, "clanker_tokens_page1"), table(spark, d, "bankr_token_launches")
-    parts = [
-        nested.member_values(clanker, "clanker_tokens_page1", "rec_id", "related", "user", "fid", nested.fid_text),
-        nested.member_values(clanker, "clanker_tokens_page1", "rec_id", "pool_config", None, "pairedToken", nested.address_text),
-        nested.list_values(bankr, "bankr_token_launches", "page_id", "payload", "launches", "deployer", "walletAddress", nested.address_text),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    clanker = nested.values_at(table(spark, d, "clanker_tokens_page1"), "clanker_tokens_page1", "rec_id", _CLANKER)
+    return clanker.unionByName(nested.values_at(table(spark, d, "bankr_token_launches"), "bankr_token_launches", "page_id", _BANKR))
+
+
+def p5_users(spark: SparkSession, d: str) -> DataFrame:
+    """Users of launchpad items as a child table: the item's id, the user's position and the user's scalars."""
+    user = nested.Target("related", ["user"], {"fid": ("fid", nested.fid_text), "username": ("username", blank_to_null)})
+    return nested.flat_tables(table(spark, d, "clanker_tokens_page1"), "rec_id", {"users": user})["users"]
+
+
+def p5_launches(spark: SparkSession, d: str) -> DataFrame:
+    """Launches with the wallets of their deployers, joined on the keys that the two child tables share."""
+    launches = nested.Target("payload", ["launches"], {"token_address": ("tokenAddress", nested.address_text), "token_name": ("tokenName", blank_to_null)})
+    deployers = nested.Target("payload", ["launches", "deployer"], {"wallet": ("walletAddress", nested.address_text)})
+    t = nested.flat_tables(table(spark, d, "bankr_token_launches"), "page_id", {"launches": launches, "deployers": deployers})
+    by = t["deployers"].select("record_id", F.col("parent_no").alias("item_no"), F.col("item_no").alias("deployer_no"), "wallet")
+    return t["launches"].join(by, ["record_id", "item_no"], "left").withColumnRenamed("item_no", "launch_no").drop("parent_no")
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
@@ -110,7 +128,7 @@ def p7_feeds(spark: SparkSession, d: str) -> DataFrame:
     return instants.feed_errors(rows, "feed_tz", "ingested_at", ZONES)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_quantiles, p3_chains, p5_found, p6_found, p6_features, p6_kinds, p7_found, p7_feeds)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_quantiles, p3_chains, p5_found, p5_users, p5_launches, p6_found, p6_features, p6_kinds, p7_found, p7_feeds)}
 
 _A = lambda c: f"lower({sql_strip(c)})"
 _P1 = f"""

@@ -3,12 +3,10 @@ import json
 from tallyloom.operators import nested
 
 
-def got(spark, data, **how):
+def got(spark, data, items=None, outer=None, name="fid", clean=nested.fid_text):
     df = spark.createDataFrame(data, "id bigint, p string, record_id string")
-    if how.get("items"):
-        out = nested.list_values(df, "t", "id", "p", how["items"], how["outer"], how["name"], nested.address_text)
-    else:
-        out = nested.member_values(df, "t", "id", "p", how.get("outer"), how["name"], how.get("clean", nested.fid_text))
+    path = [x for x in (items, outer) if x]
+    out = nested.values_at(df, "t", "id", {"x": nested.Target("p", path, {"v": (name, nested.address_text if items else clean)})})
     return sorted((r.record_id, r.item_no, r.value) for r in out.collect())
 
 
@@ -68,3 +66,23 @@ def test_arrays_in_arrays_and_deep_text(spark):
     assert [x for x in got(spark, data, outer="user", name="fid")] == want
     page = {"launches": [[{"d": {"w": "a"}}], {"d": [[{"w": "b"}], layers([{"w": "c"}], 3)]}, layers([[{"d": {"w": "e"}}]], 4)]}
     assert got(spark, [(1, json.dumps(page), "x")], items="launches", outer="d", name="w") == [(1, 0, "a"), (1, 1, "b"), (1, 1, "c"), (1, 2, "e")]
+
+
+def test_any_number_of_layers(spark):
+    """However often a payload or a member is wrapped, its value comes out; an array costs a layer too."""
+    deep = lambda v, n: v if not n else [json.dumps(deep(v, n - 1))] if n % 3 == 0 else json.dumps(deep(v, n - 1))
+    data = [(n, layers({"user": {"fid": n}}, n + 1), "x") for n in range(12)]
+    data += [(20 + n, json.dumps({"user": deep({"fid": n}, n)}), "x") for n in range(12)]
+    arrays = {"fid": 9}
+    for _ in range(30):
+        arrays = [arrays]
+    data += [(40, json.dumps({"user": arrays}), "x"), (41, '"' + json.dumps({"user": {"fid": 3}}).replace('"', "\\u0022") + '"', "x"), (42, '"\\u005b{\\u0022user\\u0022:{\\u0022fid\\u0022:4}}\\u005d"', "x")]
+    assert got(spark, data, outer="user", name="fid") == [*[(n, 0, str(n)) for n in range(12)], *[(20 + n, 0, str(n)) for n in range(12)], (40, 0, "9"), (41, 0, "3"), (42, 0, "4")]
+
+
+def test_child_tables_keep_their_parents(spark):
+    page = {"launches": [{"t": "A", "d": [{"w": "x"}, {"w": None}, "no json"]}, None, json.dumps({"t": "B", "d": {"w": "y"}}), {"t": "C"}, 5]}
+    df = spark.createDataFrame([(1, json.dumps(page)), (2, "{"), (3, None)], "id bigint, p string")
+    t = nested.flat_tables(df, "id", {"launches": nested.Target("p", ["launches"], {"t": ("t", nested.address_text)}), "d": nested.Target("p", ["launches", "d"], {"w": ("w", nested.address_text)})})
+    assert sorted((r.record_id, r.parent_no, r.item_no, r.t) for r in t["launches"].collect()) == [(1, 0, 0, "a"), (1, 0, 2, "b"), (1, 0, 3, "c")]
+    assert sorted(((r.parent_no, r.item_no, r.w) for r in t["d"].collect()), key=str) == [(0, 0, "x"), (0, 1, None), (2, 0, "y")]

@@ -170,5 +170,6 @@ def test_starts_and_operations_without_a_transaction(spark):
     ops = spark.createDataFrame([(None, 2, "n"), ("t", 2, "b"), ("t", 2, "a")], "tx string, j int, s string")
     got = sorted(((r.tx, r.i, r.op_index, r.s) for r in match.nearest_forward(first, ops, "tx", "i", "j", ["s"]).collect()), key=str)
     assert (None, 1, None, None) in got and ("t", 1, 2, "a") in got and len(got) == 3
-    inside = match.inside_windows(ops, first, "tx", "i", []).select("j", "s", "start_index").collect()
+    events = ops.withColumnRenamed("j", "i")
+    inside = match.inside_windows(events, first, "tx", "i", []).select("i", "s", "start_index").collect()
     assert [tuple(r) for r in inside if r.s == "n"] == []
