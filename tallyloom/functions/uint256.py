@@ -1,7 +1,8 @@
-"""256-bit unsigned integers as decimal or hex text, inside code generation.
+"""256-bit integers as decimal or hex text, inside code generation.
 
-Spark's decimals stop at 38 digits, so a number is held as six limbs of 18 digits. Limbs are summed as decimals and
-carried once at the end, which keeps partial aggregation: a group of any size costs six decimals per task.
+Spark's decimals stop at 38 digits, so a number is held as twelve limbs of 7 digits in plain 64-bit integers. A limb
+leaves room for the sum of 900 billion rows of one group; limbs are summed as they are, signed where something is
+taken away, and carried once at the end. A group of any size costs twelve integers per task.
 """
 
 from __future__ import annotations
@@ -11,18 +12,19 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import col
 
-LIMBS, DIGITS = 6, 18
+LIMBS, DIGITS = 12, 7
 _BASE = 10**DIGITS
 
 
 def padded(text: Column | str) -> Column:
-    """Decimal text at full width; null where the text is no unsigned integer."""
+    """Decimal text at full width; null where the text is no unsigned integer of at most 84 digits."""
     t = F.btrim(col(text))
-    return F.lpad(F.when(t.rlike(r"^\d{1,108}$"), t), LIMBS * DIGITS, "0")
+    return F.lpad(F.when(t.rlike(rf"^\d{{1,{LIMBS * DIGITS}}}$"), t), LIMBS * DIGITS, "0")
 
 
 def limbs_of(wide: Column) -> list[Column]:
-    return [F.substring(wide, (LIMBS - 1 - i) * DIGITS + 1, DIGITS).cast("decimal(38,0)") for i in range(LIMBS)]
+    """Limbs of a padded text from the lowest to the highest."""
+    return [F.substring(wide, (LIMBS - 1 - i) * DIGITS + 1, DIGITS).cast("bigint") for i in range(LIMBS)]
 
 
 def limbs(text: Column | str) -> list[Column]:
@@ -30,21 +32,33 @@ def limbs(text: Column | str) -> list[Column]:
     return limbs_of(padded(text))
 
 
-def quotient(total: Column) -> Column:
-    """The whole part of a division by the base, which must fit 63 bits."""
-    return F.call_function("div", total, F.lit(_BASE).cast("decimal(19,0)")).cast("decimal(38,0)")
+def carried(parts: Column) -> Column:
+    """digits: the limbs brought below their base, lowest first; carry: what is left above the highest, negative
+    where the number is."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("digits"))
+
+    def step(acc: Column, part: Column) -> Column:
+        total = part + acc["carry"]
+        digit = F.pmod(total, F.lit(_BASE).cast("bigint"))
+        return F.struct(F.call_function("div", total - digit, F.lit(_BASE).cast("bigint")).alias("carry"), F.concat(acc["digits"], F.array(digit)).alias("digits"))
+
+    return F.aggregate(parts, zero, step)
 
 
 def render(parts: list[Column]) -> Column:
-    """Decimal text of limbs that may exceed their digits, without leading zeros; null if any limb is null."""
-    zero = F.struct(F.lit(0).cast("decimal(38,0)").alias("carry"), F.lit("").alias("text"))
+    """Decimal text of limbs of any size and sign, without leading zeros; null if any limb is null."""
+    whole = F.array(*parts)
 
-    def step(acc: Column, part: Column) -> Column:
-        total = (part + acc["carry"]).cast("decimal(38,0)")
-        digits = F.lpad((total % _BASE).cast("decimal(18,0)").cast("string"), DIGITS, "0")
-        return F.struct(quotient(total).alias("carry"), F.concat(digits, acc["text"]).alias("text"))
+    def text(sized: Column) -> Column:
+        padded_digits = F.transform(F.reverse(sized["digits"]), lambda d: F.lpad(d.cast("string"), DIGITS, "0"))
+        return F.regexp_replace(F.concat(sized["carry"].cast("string"), F.array_join(padded_digits, "")), r"^0+(?=\d)", "")
 
-    return F.aggregate(F.array(*parts), zero, step, lambda acc: F.regexp_replace(acc["text"], r"^0+(?=\d)", ""))
+    def signed(sized: Column) -> Column:
+        below = F.transform(whole, lambda x: -x)
+        return F.when(sized["carry"] < 0, F.concat(F.lit("-"), F.transform(F.array(carried(below)), text)[0])).otherwise(text(sized))
+
+    known = ~F.exists(whole, lambda x: x.isNull())
+    return F.when(known, F.transform(F.array(carried(whole)), signed)[0])
 
 
 def sum_text(text: Column | str) -> Column:
@@ -52,49 +66,41 @@ def sum_text(text: Column | str) -> Column:
     return sum_padded(padded(text))
 
 
-def sum_padded(wide: Column) -> Column:
-    """The same for a column of :func:`padded` texts, which is best computed once in a step of its own."""
-    return render([F.sum(p) for p in limbs_of(wide)])
+def sum_padded(wide: Column, sign: Column | None = None) -> Column:
+    """The same for a column of :func:`padded` texts, which is best computed once in a step of its own; with ``sign``
+    (1 or -1 per row) the rows are added or taken away."""
+    return render([F.sum(p if sign is None else p * sign) for p in limbs_of(wide)])
 
 
 def greater(a: Column, b: Column) -> Column:
     """Whether one decimal text is greater than another."""
-    width = LIMBS * DIGITS
-    return F.lpad(a, width, "0") > F.lpad(b, width, "0")
+    return padded(a) > padded(b)
 
 
 def minus_text(a: Column, b: Column) -> Column:
     """Signed difference of two decimal texts, with a leading minus where it is negative."""
-    down = greater(b, a)
-    pairs = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in zip(limbs(F.when(down, b).otherwise(a)), limbs(F.when(down, a).otherwise(b)), strict=True)])
-    zero = F.struct(F.lit(0).cast("decimal(20,0)").alias("owed"), F.lit("").alias("text"))
-
-    def step(acc: Column, p: Column) -> Column:
-        left = (p["x"] - p["y"] - acc["owed"]).cast("decimal(20,0)")
-        digit = (left + F.when(left < 0, _BASE).otherwise(0).cast("decimal(19,0)")).cast("decimal(18,0)").cast("string")
-        return F.struct(F.when(left < 0, 1).otherwise(0).cast("decimal(20,0)").alias("owed"), F.concat(F.lpad(digit, DIGITS, "0"), acc["text"]).alias("text"))
+    return render([x - y for x, y in zip(limbs(a), limbs(b), strict=True)])
 
-    text = F.aggregate(pairs, zero, step, lambda acc: F.regexp_replace(acc["text"], r"^0+(?=\d)", ""))
-    return F.when(down, F.concat(F.lit("-"), text)).otherwise(text)
 
-
-def from_bytes(data: Column, start: int, length: int = 32) -> Column:
-    """Decimal text of a big-endian unsigned integer of up to 32 bytes at a 1-based place of a binary value.
+def from_bytes(data: Column, start: int, length: int = 32, signed: bool = False) -> Column:
+    """Decimal text of a big-endian integer of up to 32 bytes at a 1-based place of a binary value.
 
     The number is a sum of 32-bit words times powers of 2; the powers are constants split into limbs, so every limb is
-    one linear form below 38 digits and a single carry follows. Null where the value is shorter than asked.
+    one linear form below 63 bits and a single carry follows. ``signed`` reads two's complement of that length. Null
+    where the value is shorter than asked.
     """
     part = F.substring(data, start, length)
     digits = F.lpad(F.hex(part), 64, "0")
-    words = [F.conv(F.substring(digits, 64 - 8 * i - 7, 8), 16, 10).cast("decimal(10,0)") for i in range(8)]
+    words = [F.conv(F.substring(digits, 64 - 8 * i - 7, 8), 16, 10).cast("bigint") for i in range(8)]
+    negative = F.substring(F.hex(part), 1, 1).isin(*"89ABCDEF")
     sums = []
     for j in range(LIMBS):
-        factors = [(2 ** (32 * i)) // _BASE**j % _BASE for i in range(8)]
-        terms = [w * F.lit(f).cast("decimal(18,0)") for w, f in zip(words, factors, strict=True) if f]
-        total = F.lit(0).cast("decimal(38,0)")
-        for t in terms:
-            total = (total + t).cast("decimal(38,0)")
-        sums.append(total)
+        limb = lambda n, j=j: n // _BASE**j % _BASE
+        total = F.lit(0).cast("bigint")
+        for i, w in enumerate(words):
+            if f := limb(2 ** (32 * i)):
+                total = total + w * F.lit(f).cast("bigint")
+        sums.append(total - F.when(negative, limb(2 ** (8 * length))).otherwise(0).cast("bigint") if signed else total)
     return F.when(F.length(part) == length, render(sums))
 
 
@@ -102,4 +108,3 @@ def as_double(text: Column, decimals: Column | int = 0) -> Column:
     """A rounded view for display: the number divided by ten to the decimals."""
     scale = F.lit(decimals) if isinstance(decimals, int) else decimals
     return text.try_cast("double") / F.pow(F.lit(10.0), scale)
-

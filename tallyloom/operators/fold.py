@@ -81,10 +81,9 @@ def net_balances_exact(transfers: DataFrame) -> DataFrame:
     """The same with 256-bit values as text: token, holder, balance_raw (signed text). Values that are no unsigned
     integers move nothing; null holders are left out."""
     moves = settled(transfers.select("token", "sender", "receiver", "value"), {"wide": uint256.padded("value")})
-    sides = two_sides(moves.withColumn("none", F.lit(None).cast("string")), ["receiver", "wide", "none"], ["sender", "none", "wide"], ["holder", "plus", "minus"])
-    sums = sides.dropna(subset=["holder"]).groupBy("token", "holder").agg(uint256.sum_padded(F.col("plus")).alias("plus"), uint256.sum_padded(F.col("minus")).alias("minus"))
-    sums = settled(sums, {"plus": F.coalesce("plus", F.lit("0")), "minus": F.coalesce("minus", F.lit("0"))})
-    return sums.select("token", "holder", uint256.minus_text(F.col("plus"), F.col("minus")).alias("balance_raw"))
+    sides = two_sides(moves.withColumns({"up": F.lit(1), "down": F.lit(-1)}), ["receiver", "up"], ["sender", "down"], ["holder", "sign"])
+    total = uint256.sum_padded(F.col("wide"), F.col("sign"))
+    return sides.dropna(subset=["holder"]).groupBy("token", "holder").agg(F.coalesce(total, F.lit("0")).alias("balance_raw"))
 
 
 def daily_volume(swaps: DataFrame, prices: DataFrame) -> DataFrame:

@@ -72,3 +72,13 @@ def test_cast_match(spark):
     got = [r[0] for r in df.select(clean.cast_match("t", "p", "r", F.lit("0xaa"), F.lit("ABC"), clean.token_url(F.lit(1), F.lit("0xAA")))).collect()]
     assert got == ["address", "parent_url", "parent_url", "ticker", None, None]
     assert spark.range(1).select(clean.ticker(F.lit("AB"))).first()[0] is None
+
+
+def test_signed_words_and_long_sums(spark):
+    values = [0, 1, -1, -(2**255), 2**255 - 1, -(10**40)]
+    df = spark.createDataFrame([(bytearray(v.to_bytes(32, "big", signed=True)),) for v in values], "b binary")
+    assert [r[0] for r in df.select(uint256.from_bytes(F.col("b"), 1, 32, True)).collect()] == [*map(str, values)]
+    small = spark.createDataFrame([(bytearray(b"\xff\xfe"),), (bytearray(b"\x7f\xff"),)], "b binary")
+    assert [r[0] for r in small.select(uint256.from_bytes(F.col("b"), 1, 2, True)).collect()] == ["-2", "32767"]
+    many = spark.range(100_000).select(F.lit(str(TOP)).alias("v"))
+    assert many.agg(uint256.sum_text("v")).first()[0] == str(100_000 * TOP)
