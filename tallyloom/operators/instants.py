@@ -2,7 +2,7 @@
 
 A text is brought to nine fields by one regular expression per notation; everything after that is integer arithmetic
 on days and microseconds inside code generation. Zones come from the text, else from the row's feed, else from the
-estimate of the feed's offset history, else UTC.
+estimate of the feed's offset history (an offset per period, with change points), else UTC.
 """
 
 from __future__ import annotations
@@ -10,13 +10,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from zoneinfo import available_timezones
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.stages import settled
 from tallyloom.functions.text import strip
+from tallyloom.session import cut, ship, sized
 
 DAY_US = 86_400_000_000
+#: Days of one period of an offset history, and the rows that a change of offset must explain.
+PERIOD_DAYS, CHANGE_ROWS = 7, 10
 #: Month names and the offsets in minutes of zone abbreviations.
 MONTHS = "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
@@ -111,36 +115,71 @@ def zoned_us(wall_us: Column, zone: Column | str) -> Column:
     return F.when(here & ~twice, F.unix_micros(utc))
 
 
-def feed_errors(rows: DataFrame, feed: str, seen_at: str, zones: Sequence[str], slack_min: int = 45) -> DataFrame:
-    """How badly each candidate offset history explains the unzoned local times of each feed.
+def feed_errors(rows: DataFrame, feed: str, seen_at: str, zones: Sequence[str], slack_min: int = 45, days: int = PERIOD_DAYS) -> DataFrame:
+    """How badly each candidate offset explains the unzoned local times of each feed, period by period.
 
-    rows: ``feed``, ``wall_us`` and the time of ingestion. For every candidate zone a row is a violation if its
-    instant lies after its ingestion or more than ``slack_min`` before it, or if the zone does not have that wall time.
-    One pass, one mergeable count per feed and zone. Columns: feed, zone, n_rows, n_wrong.
+    rows: ``feed``, ``wall_us`` and the time of ingestion, which dates a row's period of ``days`` days. For every
+    candidate zone a row is a violation if its instant lies after its ingestion or more than ``slack_min`` before it, or
+    if the zone does not have that wall time. One pass, one mergeable count per feed, period and zone. Columns: feed,
+    period, zone, n_rows, n_wrong.
     """
     seen = F.unix_micros(F.col(seen_at))
     counts = []
     for z in zones:
         lag = seen - zoned_us(F.col("wall_us"), z)
         counts.append(F.sum(F.when((lag >= 0) & (lag <= slack_min * 60_000_000), 0).otherwise(1)).alias(z))
-    wide = rows.where(F.col("wall_us").isNotNull() & F.col(seen_at).isNotNull()).groupBy(F.col(feed).alias("feed")).agg(F.count("*").alias("n_rows"), *counts)
-    return wide.select("feed", "n_rows", F.inline(F.array(*[F.struct(F.lit(z).alias("zone"), F.col(f"`{z}`").alias("n_wrong")) for z in zones])))
+    dated = rows.where(F.col("wall_us").isNotNull() & F.col(seen_at).isNotNull()).withColumn("period", period_of(F.col(seen_at), days))
+    wide = dated.groupBy(F.col(feed).alias("feed"), "period").agg(F.count("*").alias("n_rows"), *counts)
+    return wide.select("feed", "period", "n_rows", F.inline(F.array(*[F.struct(F.lit(z).alias("zone"), F.col(f"`{z}`").alias("n_wrong")) for z in zones])))
+
+
+def period_of(seen_at: Column, days: int = PERIOD_DAYS) -> Column:
+    return F.floor(F.unix_micros(seen_at) / (days * DAY_US))
+
+
+def history(periods: list[tuple[int, dict[str, int]]], default: str, change: int = CHANGE_ROWS) -> list[str]:
+    """The zone of each period that together leave the fewest violations, where a change of zone costs ``change`` rows.
+
+    periods: in order of time, the violations of each zone. The violations of zones other than the default count
+    twice, so the default stands unless another halves its violations; ties fall to the default, then by name.
+    """
+    zones = sorted({z for _, wrong in periods for z in wrong}, key=lambda z: (z != default, z))
+    best = {z: (0, []) for z in zones}
+    for _, wrong in periods:
+        nearest = min(zones, key=lambda z: (best[z][0], zones.index(z)))
+        after = {}
+        for z in zones:
+            before = z if best[z][0] <= best[nearest][0] + change else nearest
+            paid = best[before][0] + (0 if before == z else change)
+            after[z] = (paid + wrong[z] * (1 if z == default else 2), [*best[before][1], z])
+        best = after
+    return best[min(zones, key=lambda z: (best[z][0], zones.index(z)))][1] if periods else []
 
 
 def estimate_feeds(rows: DataFrame, feed: str, seen_at: str, zones: Sequence[str], default: str = "UTC") -> DataFrame:
-    """feed, zone: the offset history with the fewest violations per feed; the default wins unless another halves its."""
-    errors = feed_errors(rows, feed, seen_at, zones)
-    order = F.struct(F.col("n_wrong") * F.when(F.col("zone") == default, 1).otherwise(2), F.when(F.col("zone") == default, 0).otherwise(1), "zone")
-    return errors.groupBy("feed").agg(F.min_by("zone", order).alias("zone"))
+    """feed, period, zone: the offset history of each feed with the fewest violations (:func:`history`).
+
+    Rows are only counted, per feed, period and zone; the choice among histories sees these counts, of which a feed has
+    as many as it has periods and zones however many rows it delivers.
+    """
+
+    def choose(key: tuple, counts: pd.DataFrame) -> pd.DataFrame:
+        by = counts.pivot_table(index="period", columns="zone", values="n_wrong", aggfunc="sum").sort_index()
+        found = history([(int(p), {z: int(n) for z, n in row.items()}) for p, row in by.iterrows()], default)
+        return pd.DataFrame({"feed": key[0], "period": by.index.astype("int64"), "zone": found})
+
+    ship(rows.sparkSession)
+    return feed_errors(rows, feed, seen_at, zones).groupBy("feed").applyInPandas(choose, "feed string, period bigint, zone string")
 
 
 def utc_instants(df: DataFrame, text: str, feed_zone: str | None = None, feed: str | None = None, seen_at: str | None = None, zones: Sequence[str] = (), default: str = "UTC") -> DataFrame:
     """Add ``utc_us`` to the rows of ``df``: microseconds since 1970 in UTC, null where the text fixes no moment.
 
     The zone in the text counts first, then the row's ``feed_zone``. For the other rows of a ``feed`` the offset
-    history is estimated from ``seen_at`` among ``zones`` (:func:`estimate_feeds`); without a feed ``default`` holds.
-    Null, empty and impossible texts, and wall times their zone has twice or never, give null. All columns of ``df`` are
-    kept whatever their names; one named utc_us is replaced. The estimate is one row per feed, and feeds are few.
+    history is estimated from ``seen_at`` among ``zones`` (:func:`estimate_feeds`); without a feed, or a ``seen_at``,
+    ``default`` holds. Null, empty and impossible texts, and wall times their zone has twice or never, give null. All
+    columns of ``df`` are kept whatever their names; one named utc_us is replaced. The history has one row per feed and
+    period and is broadcast after its rows were counted.
     """
     held = {"own_text": F.col(text), "own_zone": F.lit(None).cast("string") if feed_zone is None else F.nullif(strip(feed_zone), F.lit(""))}
     if feed is not None and seen_at is not None:
@@ -148,9 +187,11 @@ def utc_instants(df: DataFrame, text: str, feed_zone: str | None = None, feed: s
     rows = read_instants(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "utc_us"]).alias("own_row"), *[c.alias(n) for n, c in held.items()]), "own_text")
     guess = F.lit(default)
     if "own_feed" in held:
-        local = rows.where(F.col("offset_min").isNull() & F.col("own_zone").isNull() & F.col("wall_us").isNotNull())
-        found = estimate_feeds(local, "own_feed", "own_seen", zones, default).select(F.col("feed").alias("guess_feed"), F.col("zone").alias("zone_guess"))
-        rows = rows.join(F.broadcast(found), F.col("own_feed").eqNullSafe(F.col("guess_feed")), "left")
+        rows = cut(rows)
+        local = rows.where(F.col("offset_min").isNull() & F.col("own_zone").isNull() & F.col("own_feed").isNotNull())
+        found = cut(estimate_feeds(local, "own_feed", "own_seen", zones, default)).toDF("guess_feed", "guess_period", "zone_guess")
+        mine = (F.col("own_feed") == F.col("guess_feed")) & (period_of(F.col("own_seen")) == F.col("guess_period"))
+        rows = rows.join(sized(found), mine, "left")
         guess = F.coalesce("zone_guess", F.lit(default))
     fixed = F.col("wall_us") - F.col("offset_min").cast("bigint") * 60_000_000
     rows = settled(rows, {"own_zone": F.coalesce("own_zone", guess)})

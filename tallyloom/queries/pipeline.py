@@ -113,19 +113,29 @@ def p6_features(spark: SparkSession, d: str) -> DataFrame:
     return plain(features.wide_features(vectors, kinds).withColumnRenamed("entity", "engager_fid"))
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """The delivered times of all three tables in one frame: read and parsed once."""
+    part = lambda name, key, text, zone, seen: table(spark, d, name).select(F.lit(name).alias("source_table"), F.col(key).alias("record_id"), F.col(text).alias("text"), zone.cast("string").alias("feed_tz"), seen.cast("timestamp").alias("seen_at"))
+    none = F.lit(None)
+    parts = [
+        part("deployments", "deployment_id", "deployed_at", F.col("feed_tz"), F.col("ingested_at")),
+        part("hyperliquid_info", "update_id", "time", none, none),
+        part("clanker_tokens_page1", "rec_id", "created_at", none, F.col("fetched_at")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    deployments = instants.utc_instants(table(spark, d, "deployments").select("deployment_id", "deployed_at", "feed_tz", "ingested_at"), "deployed_at", "feed_tz", "feed_tz", "ingested_at", ZONES)
-    ledger = instants.utc_instants(table(spark, d, "hyperliquid_info").select("update_id", "time"), "time")
-    pages = instants.utc_instants(table(spark, d, "clanker_tokens_page1").select("rec_id", "created_at", "page_no"), "created_at")
-    parts = [("deployments", "deployment_id", deployments), ("hyperliquid_info", "update_id", ledger), ("clanker_tokens_page1", "rec_id", pages)]
-    rows = [df.where("utc_us is not null").select(F.lit(name).alias("source_table"), F.col(key).alias("record_id"), "utc_us") for name, key, df in parts]
-    return reduce(DataFrame.unionByName, rows)
+    """Each table is a feed: what its rows leave open is read under the offset history estimated for the feed."""
+    rows = instants.utc_instants(_texts(spark, d), "text", "feed_tz", "source_table", "seen_at", ZONES)
+    return rows.where("utc_us is not null").select("source_table", "record_id", "utc_us")
 
 
 def p7_feeds(spark: SparkSession, d: str) -> DataFrame:
-    """Violations of each candidate offset history per declared feed of deployments."""
+    """Violations of each candidate offset per declared feed of deployments, over all periods."""
     rows = instants.read_instants(table(spark, d, "deployments").select("deployed_at", "feed_tz", "ingested_at"), "deployed_at").where("offset_min is null and wall_us is not null")
-    return instants.feed_errors(rows, "feed_tz", "ingested_at", ZONES)
+    errors = instants.feed_errors(rows, "feed_tz", "ingested_at", ZONES)
+    return errors.groupBy("feed", "zone").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_wrong").alias("n_wrong"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_report, p3_found, p3_quantiles, p3_chains, p5_found, p5_users, p5_launches, p6_found, p6_features, p6_kinds, p7_found, p7_feeds)}
@@ -150,6 +160,34 @@ WITH k AS (SELECT engager_fid, brand_fid, trim(regexp_replace(lower({sql_strip('
 e AS (SELECT engager_fid, engagement, max(engaged_at) AS last_at, max(weight) AS w FROM k
   WHERE engager_fid IS NOT NULL AND engagement <> '' GROUP BY engager_fid, brand_fid, engagement, h1, h2)
 """
+def _p7_sql() -> str:
+    """The same reading in DuckDB: the notations are shared, dates, clocks, numbers and zones are DuckDB's own."""
+    names = ("y", "mo", "dd", "hh", "mi", "ss", "fr", "ap", "zn")
+    esc = lambda p: p.replace("'", "''")
+    part = lambda p, g: f"regexp_extract(t, '{esc(p)}', {g})" if g else "''"
+    cases = " ".join(f"WHEN regexp_matches(t, '{esc(p)}') THEN {{" + ", ".join(f"'{n}': {part(p, g)}" for n, g in zip(names, groups, strict=True)) + "}" for p, groups in instants.NOTATIONS)
+    month = "CASE WHEN regexp_matches(p.mo, '^[0-9]') THEN try_cast(p.mo AS INT) ELSE (position(p.mo[1:3] IN 'janfebmaraprmayjunjulaugsepoctnovdec') + 2) // 3 END"
+    words = " ".join(f"WHEN '{n}' THEN {v}" for n, v in instants.ABBREVIATIONS.items())
+    number = " ".join(f"WHEN x >= {lo} * {s}::DECIMAL(38,9) AND x < {hi} * {s}::DECIMAL(38,9) THEN CAST(floor({e}) AS BIGINT)" for s, lo, hi, e in ((1_000_000_000, 1_672_531_200, 1_830_297_600, "CAST(trunc(x) AS HUGEINT) // 1000"), (1_000_000, 1_672_531_200, 1_830_297_600, "x"), (1_000, 1_672_531_200, 1_830_297_600, "x * 1000"), (1, 1_672_531_200, 1_830_297_600, "x * 1000000")))
+    wall = "make_timestamp(w) AT TIME ZONE z"
+    twice = " OR ".join(f"(({wall}) {sign} INTERVAL {m} MINUTE) AT TIME ZONE z = make_timestamp(w)" for m in (30, 60, 120) for sign in "+-")
+    return f"""r AS (SELECT 'deployments' AS source_table, deployment_id AS record_id, deployed_at AS txt, nullif({sql_strip('feed_tz')}, '') AS tz, ingested_at AS seen FROM deployments
+  UNION ALL SELECT 'hyperliquid_info', update_id, time, NULL, NULL FROM hyperliquid_info UNION ALL SELECT 'clanker_tokens_page1', rec_id, created_at, NULL, fetched_at FROM clanker_tokens_page1),
+t0 AS (SELECT *, lower(regexp_replace({sql_strip('txt')}, '\\s+', ' ', 'g')) AS t FROM r),
+t1 AS (SELECT *, CASE {cases} END AS p, CASE WHEN regexp_matches(t, '^[0-9]+([.][0-9]*)?(e[+]?[0-9]+)?$') THEN try_cast(t AS DECIMAL(38,9)) END AS x FROM t0),
+t2 AS (SELECT *, {month} AS m, try_cast(p.hh AS INT) AS h0, coalesce(try_cast(p.mi AS INT), 0) AS mi, coalesce(try_cast(p.ss AS INT), 0) AS s, regexp_replace(p.zn, '^(utc|gmt)|:', '', 'g') AS g FROM t1),
+t3 AS (SELECT *, CASE WHEN p.hh = '' THEN 0 WHEN p.ap = '' THEN h0 WHEN h0 BETWEEN 1 AND 12 THEN h0 % 12 + CASE WHEN p.ap = 'pm' THEN 12 ELSE 0 END END AS h, try_cast(p.y || '-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(p.dd, 2, '0') AS DATE) AS day,
+  CASE WHEN regexp_matches(p.zn, '[+-]') THEN CASE WHEN try_cast(g[2:3] AS INT) * 60 + coalesce(try_cast(nullif(g[4:5], '') AS INT), 0) <= 840 AND coalesce(try_cast(nullif(g[4:5], '') AS INT), 0) < 60
+    THEN (CASE WHEN g[1] = '-' THEN -1 ELSE 1 END) * (try_cast(g[2:3] AS INT) * 60 + coalesce(try_cast(nullif(g[4:5], '') AS INT), 0)) END ELSE CASE p.zn {words} END END AS off FROM t2),
+t4 AS (SELECT source_table, record_id, tz, seen, CASE WHEN p IS NULL THEN CASE WHEN x IS NOT NULL THEN 0 END ELSE off END AS off, CASE WHEN p IS NULL THEN CASE {number} END
+  WHEN (p.zn = '' OR off IS NOT NULL) AND h < 24 AND mi < 60 AND s < 60 THEN epoch_us(day::TIMESTAMP) + (h * 3600 + mi * 60 + s)::BIGINT * 1000000 + coalesce(try_cast(rpad(p.fr[1:6], 6, '0') AS BIGINT), 0) END AS w FROM t3),
+t5 AS (SELECT *, coalesce(tz, 'UTC') AS z FROM t4 WHERE w IS NOT NULL),
+zoned AS (SELECT *, CASE WHEN off IS NOT NULL THEN w - off::BIGINT * 60000000 WHEN z = 'UTC' THEN w
+  WHEN ({wall}) AT TIME ZONE z = make_timestamp(w) AND NOT ({twice}) THEN epoch_us({wall}) END AS utc_us FROM t5),
+tried AS (SELECT tz AS feed, seen, w, unnest([{', '.join(f"'{z}'" for z in ZONES)}]) AS z FROM t4 WHERE source_table = 'deployments' AND off IS NULL AND w IS NOT NULL AND seen IS NOT NULL),
+lags AS (SELECT feed, z AS zone, CASE WHEN ({wall}) AT TIME ZONE z = make_timestamp(w) AND NOT ({twice}) THEN epoch_us(seen) - epoch_us({wall}) END AS lag FROM tried)"""
+
+
 SQL = {
     "p1_found": _P1 + "SELECT ref_table, row_id, period, reason FROM f WHERE reason IS NOT NULL",
     "p1_report": _P1 + "SELECT ref_table, period, reason, count(*) AS n_rows FROM f WHERE reason IS NOT NULL GROUP BY ALL",
@@ -166,6 +204,8 @@ SQL = {
         n AS (SELECT chain_id, v, row_number() OVER (PARTITION BY chain_id ORDER BY v) AS i, count(*) OVER (PARTITION BY chain_id) AS n_rows FROM r),
         p AS (SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE]) AS prob)
         SELECT chain_id, prob, n_rows, v AS ingested_us FROM n, p WHERE i = greatest(1, ceil(prob * n_rows))""",
+    "p7_found": f"WITH {_p7_sql()} SELECT source_table, record_id, utc_us FROM zoned WHERE utc_us IS NOT NULL",
+    "p7_feeds": f"WITH {_p7_sql()} SELECT feed, zone, count(*) AS n_rows, count(*) FILTER (coalesce(lag NOT BETWEEN 0 AND 45 * 60000000::BIGINT, true)) AS n_wrong FROM lags GROUP BY ALL",
     "p6_found": _P6 + "SELECT engager_fid, engagement, count(*) AS n_events FROM e GROUP BY ALL",
     "p6_kinds": plain_sql(
         _P6

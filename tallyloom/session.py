@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHIPPED: dict[str, str] = {}
 
@@ -32,6 +33,18 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+#: Rows up to which a side of a join is broadcast; its size is counted first.
+BROADCAST_ROWS = 100_000
+
+
+def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most`` rows, counted here, else as it is.
+
+    For sides that are narrow and read from a file or a checkpoint, so that counting them is cheap.
+    """
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder the session names.
 

@@ -58,3 +58,24 @@ def test_feeds_without_a_zone_are_estimated(spark):
     rows = instants.utc_instants(df, "t", None, "feed", "seen", zones).collect()
     assert all(r.utc_us == round(r.seen.replace(tzinfo=UTC).timestamp() * 1e6) - 9 * 60_000_000 for r in rows)
     assert instants.utc_instants(df.limit(0), "t", None, "feed", "seen", zones).count() == 0
+
+
+def test_a_feed_that_changes_its_clock(spark):
+    """A feed that wrote Indian time and then New York time: every row is read under the offset of its period."""
+    at = [datetime(2025, 1, 5, tzinfo=UTC) + timedelta(hours=5 * i) for i in range(1200)]
+    offset = lambda t: timedelta(hours=5.5) if t < datetime(2025, 5, 4, tzinfo=UTC) else timedelta(hours=-4)
+    data = [("f", (t + offset(t)).strftime("%Y-%m-%d %H:%M:%S"), t + timedelta(minutes=9 if i % 10 else 9000)) for i, t in enumerate(at)]
+    data += [("f", "2025-02-03 04:05:06", None), (None, "2025-02-03 04:05:06", at[0])]
+    df = spark.createDataFrame(data, "feed string, t string, seen timestamp")
+    rows = instants.utc_instants(df, "t", None, "feed", "seen", ("UTC", "America/New_York", "Asia/Kolkata")).collect()
+    right = [r for r in rows if r.feed and r.seen and r.utc_us == round(r.seen.replace(tzinfo=UTC).timestamp() * 1e6) - 540_000_000]
+    assert len(right) >= 1050  # one row in ten is delivered days later, under the offset of that period
+    assert [r.utc_us for r in rows if r.feed is None or r.seen is None] == [US(2025, 2, 3, 4, 5, 6)] * 2
+
+
+def test_histories():
+    wrong = lambda a, b: {"UTC": a, "Asia/Kolkata": b}
+    assert instants.history([], "UTC") == []
+    assert instants.history([(1, wrong(5, 5)), (2, wrong(9, 5))], "UTC") == ["UTC", "UTC"]
+    assert instants.history([(1, wrong(90, 1)), (2, wrong(3, 9)), (3, wrong(90, 1))], "UTC") == ["Asia/Kolkata"] * 3  # too few rows for a change
+    assert instants.history([(1, wrong(90, 1)), (2, wrong(0, 80))], "UTC") == ["Asia/Kolkata", "UTC"]
