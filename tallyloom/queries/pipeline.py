@@ -160,6 +160,19 @@ WITH k AS (SELECT engager_fid, brand_fid, trim(regexp_replace(lower({sql_strip('
 e AS (SELECT engager_fid, engagement, max(engaged_at) AS last_at, max(weight) AS w FROM k
   WHERE engager_fid IS NOT NULL AND engagement <> '' GROUP BY engager_fid, brand_fid, engagement, h1, h2)
 """
+#: Payloads opened by recursion: a text that is JSON, the elements of an array, the member one level down.
+_P5 = """WITH RECURSIVE src AS (
+  SELECT 'clanker_tokens_page1' AS raw_table, rec_id AS record_id, 'related.user.fid' AS path, ['user'] AS names, 'fid' AS member, related AS txt FROM clanker_tokens_page1
+  UNION ALL SELECT 'clanker_tokens_page1', rec_id, 'pool_config.pairedToken', []::VARCHAR[], 'pairedToken', pool_config FROM clanker_tokens_page1
+  UNION ALL SELECT 'bankr_token_launches', page_id, 'deployer.walletAddress', ['launches', 'deployer'], 'walletAddress', payload FROM bankr_token_launches),
+o AS (SELECT raw_table, record_id, path, names, member, 0 AS lvl, 0::BIGINT AS up, 0::BIGINT AS pos, true AS single, txt::JSON AS v FROM src WHERE json_valid(txt)
+  UNION ALL SELECT raw_table, record_id, path, names, member, c.lvl, c.up, c.pos, c.single, c.v FROM (SELECT *, unnest(CASE
+    WHEN json_type(v) = 'VARCHAR' AND json_valid(v->>'$') THEN [{lvl: lvl, up: up, pos: pos, single: single, v: CAST(v->>'$' AS JSON)}]
+    WHEN json_type(v) = 'ARRAY' THEN list_transform(range(json_array_length(v)::BIGINT), lambda i: {lvl: lvl, up: up, pos: CASE WHEN single THEN i ELSE pos END, single: false, v: json_extract(v, '$[' || i || ']')})
+    WHEN json_type(v) = 'OBJECT' AND lvl < len(names) THEN [{lvl: lvl + 1, up: pos, pos: 0::BIGINT, single: true, v: json_extract(v, '$.' || names[lvl + 1])}] END) AS c FROM o)),
+leaves AS (SELECT *, CASE WHEN json_type(v, '$.' || member) NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN v->>('$.' || member) END AS leaf FROM o WHERE lvl = len(names) AND json_type(v) = 'OBJECT')"""
+
+
 def _p7_sql() -> str:
     """The same reading in DuckDB: the notations are shared, dates, clocks, numbers and zones are DuckDB's own."""
     names = ("y", "mo", "dd", "hh", "mi", "ss", "fr", "ap", "zn")
@@ -204,6 +217,12 @@ SQL = {
         n AS (SELECT chain_id, v, row_number() OVER (PARTITION BY chain_id ORDER BY v) AS i, count(*) OVER (PARTITION BY chain_id) AS n_rows FROM r),
         p AS (SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE]) AS prob)
         SELECT chain_id, prob, n_rows, v AS ingested_us FROM n, p WHERE i = greatest(1, ceil(prob * n_rows))""",
+    "p5_found": f"""{_P5} SELECT DISTINCT raw_table, record_id, item_no, path, value FROM (
+        SELECT raw_table, record_id, CAST(CASE len(names) WHEN 0 THEN pos WHEN 1 THEN CASE WHEN single THEN up ELSE pos END ELSE up END AS BIGINT) AS item_no, path,
+          CASE WHEN member = 'fid' THEN CASE WHEN whole = floor(whole) THEN CAST(try_cast(whole AS BIGINT) AS VARCHAR) END ELSE nullif(lower({sql_strip('leaf')}), '') END AS value
+        FROM (SELECT *, try_cast({sql_strip('leaf')} AS DECIMAL(38,6)) AS whole FROM leaves)) WHERE value IS NOT NULL""",
+    "p5_users": f"""{_P5} SELECT record_id, up AS parent_no, pos AS item_no, CASE WHEN whole = floor(whole) THEN CAST(try_cast(whole AS BIGINT) AS VARCHAR) END AS fid, username
+        FROM (SELECT *, try_cast({sql_strip('leaf')} AS DECIMAL(38,6)) AS whole, nullif({sql_strip("CASE WHEN json_type(v, '$.username') NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN v->>'$.username' END")}, '') AS username FROM leaves WHERE member = 'fid')""",
     "p7_found": f"WITH {_p7_sql()} SELECT source_table, record_id, utc_us FROM zoned WHERE utc_us IS NOT NULL",
     "p7_feeds": f"WITH {_p7_sql()} SELECT feed, zone, count(*) AS n_rows, count(*) FILTER (coalesce(lag NOT BETWEEN 0 AND 45 * 60000000::BIGINT, true)) AS n_wrong FROM lags GROUP BY ALL",
     "p6_found": _P6 + "SELECT engager_fid, engagement, count(*) AS n_events FROM e GROUP BY ALL",
