@@ -15,6 +15,7 @@ TOLERANCE_US = 20 * 60 * 1_000_000
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """The rows that supply the values with the largest sums of votes, under weights that dominate each other."""
     won = survivors.winners(survivors.token_votes(table(spark, d, "tokens")), _KEYS)
     return won.where("n_rows >= 2 and value is not null").select(*_KEYS, "field", F.col("row_id").alias("token_row_id"))
 
@@ -61,18 +62,30 @@ _TRUST = "CASE lower(" + _S("source") + ") " + " ".join(f"WHEN '{k}' THEN {v}" f
 _VOTES = f"""
 WITH b AS (SELECT lower({_S('token_address')}) AS token_address, chain_id, token_row_id, coalesce({_TRUST}, 1) AS trust, ingested_at,
     CASE WHEN lower({_S('name')}) NOT IN ({_FILL}) AND NOT regexp_full_match({_S('name')}, '[[:punct:][:space:]]*') THEN {_S('name')} END AS name,
+    CASE WHEN lower({_S('source')}) NOT IN ({_FILL}) AND NOT regexp_full_match({_S('source')}, '[[:punct:][:space:]]*') THEN {_S('source')} END AS source,
     CASE WHEN regexp_full_match(lower({_S('fee_recipient_address')}), '0x[0-9a-f]{{40}}') AND lower({_S('fee_recipient_address')}) <> '{ZERO_ADDRESS}'
       THEN lower({_S('fee_recipient_address')}) END AS fee_recipient_address
   FROM tokens WHERE token_address IS NOT NULL AND chain_id IS NOT NULL),
 v AS (SELECT token_address, chain_id, 'name' AS field, name AS value, token_row_id, trust, ingested_at FROM b
-  UNION ALL SELECT token_address, chain_id, 'fee_recipient_address', fee_recipient_address, token_row_id, trust, ingested_at FROM b)
+  UNION ALL SELECT token_address, chain_id, 'fee_recipient_address', fee_recipient_address, token_row_id, trust, ingested_at FROM b),
+vs AS (SELECT * FROM v UNION ALL SELECT token_address, chain_id, 'source', source, token_row_id, trust, ingested_at FROM b)
 """
+_DECAYED = """, g AS (SELECT token_address, chain_id, field, count(*) AS n, max(ingested_at) FILTER (value IS NOT NULL) AS newest FROM vs GROUP BY ALL),
+s AS (SELECT token_address, chain_id, field, lower(value) AS shape, printf('%.11e', sum(trust * pow(0.5, (epoch_us(newest) - epoch_us(ingested_at)) / (86400000000.0 * 90))))::DOUBLE AS size,
+    max({t: trust, a: ingested_at, r: token_row_id}) AS best, arg_max(value, {t: trust, a: ingested_at, r: token_row_id}) AS value
+  FROM vs JOIN g USING (token_address, chain_id, field) WHERE value IS NOT NULL GROUP BY ALL),
+w AS (SELECT *, row_number() OVER (PARTITION BY token_address, chain_id, field ORDER BY size DESC, best.a DESC, best.r DESC) AS i FROM s)
+SELECT token_address, chain_id, max(n) AS n_rows, max(value) FILTER (field = 'name') AS name, max(best.r) FILTER (field = 'name') AS name_row_id,
+  max(value) FILTER (field = 'fee_recipient_address') AS fee_recipient_address, max(best.r) FILTER (field = 'fee_recipient_address') AS fee_recipient_address_row_id,
+  max(value) FILTER (field = 'source') AS source, max(best.r) FILTER (field = 'source') AS source_row_id
+FROM g LEFT JOIN (SELECT * FROM w WHERE i = 1) USING (token_address, chain_id, field) GROUP BY token_address, chain_id"""
 SQL = {
     "p2_found": _VOTES
     + """SELECT token_address, chain_id, field, token_row_id FROM (
         SELECT *, count(*) OVER (PARTITION BY token_address, chain_id, field) AS n,
           row_number() OVER (PARTITION BY token_address, chain_id, field ORDER BY value IS NULL, trust DESC, ingested_at DESC, token_row_id DESC) AS i FROM v)
         WHERE i = 1 AND n >= 2 AND value IS NOT NULL""",
+    "p2_survivors": _VOTES + _DECAYED,
     "p4_found": """
         WITH j AS (SELECT b.buy_id, c.cast_hash, abs(epoch_us(c.timestamp) - epoch_us(b.block_time)) AS gap, c.timestamp AS at_time
           FROM buys b JOIN token_casts c ON b.fid = c.author_fid AND c.timestamp BETWEEN b.block_time - INTERVAL 20 MINUTE AND b.block_time + INTERVAL 20 MINUTE)

@@ -1,7 +1,8 @@
 """Best representative of each duplicate group, field by field.
 
 Fields are unpivoted to long rows, every row votes for its normalised value, winners are taken by max_by and pivoted
-back. Both aggregations combine map-side, so a group of any size costs one row per distinct value and task.
+back. Aggregations combine map-side, so a group of any size costs one row per distinct value and task; votes meet the
+figures of their group in a join that spreads hot groups by their size.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import ZERO_ADDRESS, address, strip, valid_address
+from tallyloom.operators.skew import hot_keys, salted_join
+from tallyloom.session import cut
 
 #: Texts that stand for "no value", in lower case.
 FILLERS = (
@@ -54,27 +57,44 @@ def long_votes(df: DataFrame, keys: Mapping[str, Column], row_id: str, trust: Co
 def winners(votes: DataFrame, keys: Sequence[str], half_life_days: float | None = None) -> DataFrame:
     """The winning value and the row that supplies it, per group and field: keys, field, value, row_id, n_rows.
 
-    With ``half_life_days`` a row's vote is its trust halved for every half-life of age against the group-independent
-    epoch, votes of rows with the same value in lower case are summed and the largest sum wins; sums that agree in 12
-    significant digits are equal. Doubles hold votes up to about 1,000 half-lives before 2030. Without it votes are
-    ranked and not summed: trust, then time, then row id, so one trusted row outvotes any number of others. Ties fall
-    to the later time, then the larger row id. A group whose values are all unusable has a row with nulls.
+    Every row votes for its value (compared in lower case), the votes of a value are summed and the largest sum wins;
+    the row with the most trust, then the latest time, then the largest id among the voters of that value supplies it.
+    A vote is trust times recency, both measured against the group:
+
+    * with ``half_life_days`` the trust, halved for every half-life that the row is older than the newest row of its
+      group, so votes of any age keep all their digits; sums that agree in 12 significant digits are equal and fall to
+      the later time, then the larger row id;
+    * without it trust and recency dominate: with B one more than the group's rows, the vote is an exact integer, B for
+      the group's best trust, times B for the newest row of that trust, times B for the largest id at that time. The
+      row that has all three outvotes all others together, so one trusted row beats any number of untrusted ones.
+      Integers are exact up to 10**12 rows of one group.
+
+    A null time is older than any other. A group whose values are all unusable has a row with nulls.
     """
     keys = list(keys)
-    rank = F.struct(F.col("trust"), F.col("seen_at"), F.col("row_id"))
-    shape = F.when(F.col("value").isNotNull(), F.lower("value"))
-    per_value = votes.groupBy(*keys, "field", shape.alias("shape"))
+    group = [*keys, "field"]
+    rank = F.struct("trust", "seen_at", "row_id")
+    usable = F.col("value").isNotNull()
+    groups = cut(votes.groupBy(*group).agg(F.count("*").alias("n_rows"), F.max(F.when(usable, rank)).alias("top"), F.max(F.when(usable, F.col("seen_at"))).alias("newest")))
+    cast = votes.where(usable).withColumn("shape", F.lower("value"))
+    cast = salted_join(cast, groups, group, hot_keys(groups, group, "n_rows"), ["shape", "row_id"])
     if half_life_days is None:
-        weight = F.lit(0.0)
+        base = (F.col("n_rows") + 1).cast("decimal(13,0)")
+        best = F.col("trust") == F.col("top.trust")
+        newest = best & F.col("seen_at").eqNullSafe(F.col("top.seen_at"))
+        steps = [F.when(c, base).otherwise(1).cast("decimal(13,0)") for c in (best, newest, newest & (F.col("row_id") == F.col("top.row_id")))]
+        vote = (steps[0] * steps[1]).cast("decimal(26,0)") * steps[2]
+        size = F.sum(vote.cast("decimal(38,0)"))
     else:
-        age = (F.lit(1_893_456_000) - F.unix_seconds("seen_at")) / F.lit(86_400.0 * half_life_days)
-        weight = F.sum(F.coalesce(F.col("trust") * F.pow(F.lit(0.5), age), F.lit(0.0)))
-    best = per_value.agg(weight.alias("vote"), F.max(rank).alias("best"), F.max_by("value", rank).alias("value"), F.count("*").alias("n"))
-    size = F.col("vote") if half_life_days is None else F.format_string("%.11e", "vote").cast("double")
-    order = F.when(F.col("shape").isNotNull(), F.struct(size, "best"))
-    return best.groupBy(*keys, "field").agg(
-        F.max_by("value", order).alias("value"), F.max_by("best.row_id", order).alias("row_id"), F.sum("n").alias("n_rows")
-    )
+        age = (F.unix_micros("newest") - F.unix_micros("seen_at")) / F.lit(86_400_000_000.0 * half_life_days)
+        size = F.format_string("%.11e", F.sum(F.coalesce(F.col("trust") * F.pow(F.lit(0.5), age), F.lit(0.0)))).cast("double")
+    summed = cast.groupBy(*group, "shape").agg(size.alias("size"), F.max(rank).alias("best"), F.max_by("value", rank).alias("value"))
+    # within equal sums the later time counts before the trust where votes decay
+    tie = F.struct("best") if half_life_days is None else F.struct("best.seen_at", "best.row_id")
+    order = F.struct("size", tie.alias("tie"))
+    won = summed.groupBy(*group).agg(F.max_by(F.struct("value", F.col("best.row_id").alias("row_id")), order).alias("won"))
+    none = groups.where("top is null").select(*group, F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("row_id"), "n_rows")
+    return won.join(groups.select(*group, "n_rows"), group).select(*group, "won.value", "won.row_id", "n_rows").unionByName(none)
 
 
 def survivors(won: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@ from datetime import UTC, datetime, timedelta
 
 import pytest
 
+from tallyloom.llm import nearest
 from tallyloom.llm.nearest import nearest_matches
 
 T0 = datetime(2025, 1, 1, tzinfo=UTC)
@@ -41,3 +42,18 @@ def test_against_brute_force_with_an_entity_larger_than_a_range(spark, seed):
 
 def test_empty_sides(spark):
     assert run(spark, [], [("a", 1, 1)]) == [] and run(spark, [(1, 1, 1)], []) == [] and run(spark, [], []) == []
+
+
+def test_many_ranges_and_small_batches(spark, monkeypatch):
+    """Carried edges over several blocks of ranges, records that wait over several batches, and ids beyond 2**53."""
+    monkeypatch.setattr(nearest, "BLOCK", 2)
+    monkeypatch.setattr(nearest.prefix_scan, "__defaults__", (2,))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = random.Random(8)
+        big = 2**60
+        left = [(big + i, rng.choice([1, 1, 1, 2, 3]), rng.randint(0, 3000)) for i in range(400)]
+        right = [(f"r{i}", rng.choice([1, 1, 2, 4]), rng.randint(0, 3000)) for i in range(60)]
+        assert run(spark, left, right, 40, 12) == brute(left, right, 40)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 from tallyloom.llm import queries
@@ -53,6 +54,8 @@ def test_old_votes_still_count(spark):
     at = datetime(2001, 1, 1)
     data = [(n, "t", 1, "a", None, "x", at) for n in range(1, 5)] + [(9, "t", 1, "B", None, "dune_robinhood", at)]
     assert won(spark, data, 90.0)["t", 1, "name"] == ("a", 4, 5)
+    ages = [(1, "t", 1, "B", None, "dune_robinhood", datetime(1925, 1, 1)), *[(n, "t", 1, "a", None, "x", datetime(1925, 1, 1)) for n in range(2, 6)], (9, "t", 1, None, None, "x", T(1))]
+    assert won(spark, ages, 90.0)["t", 1, "name"] == ("a", 5, 6)
     tied = [(n, "t", 1, "a", None, "x", at) for n in range(1, 4)] + [(9, "t", 1, "B", None, "dune_robinhood", at)]
     assert won(spark, tied, 90.0)["t", 1, "name"] == ("B", 9, 4)
 
@@ -63,3 +66,15 @@ def test_source_is_voted_on_and_kept(spark, tmp_path):
     got = {r.token_address: (r.source, r.source_row_id, r["name"]) for r in queries.p2_survivors(spark, str(tmp_path)).collect()}
     assert got == {"t": ("bankr_api", 3, "A"), "u": (None, None, "A")}
     assert {r.field for r in queries.p2_found(spark, str(tmp_path)).collect()} == {"name"}
+
+
+def test_summed_votes_give_what_ranking_gives(spark):
+    """The dominating weights against sorting, with ties in trust and time and many untrusted rows for one value."""
+    rng = random.Random(4)
+    data = [(i, f"t{rng.randint(0, 12)}", 1, rng.choice(["A", "a", "B", "c", "n/a", None]), None, rng.choice(["dune_robinhood", "bankr_api", "x", None]), T(rng.randint(1, 3)) if rng.random() < 0.9 else None) for i in range(400)]
+    got = {k[0]: v for k, v in won(spark, data).items() if k[2] == "name"}
+    level = {"dune_robinhood": 3, "bankr_api": 2}
+    for token in {r[1] for r in data}:
+        rows = [r for r in data if r[1] == token]
+        top = max((r for r in rows if r[3] not in (None, "n/a")), key=lambda r: (level.get(r[5], 1), r[6] or datetime.min, r[0]))
+        assert got[token] == (top[3], top[0], len(rows)), token
