@@ -17,7 +17,7 @@ _EXTERNAL = re.compile(r"\[(?:https?|ftp)://\S+\s*([^\]]*)\]")
 _ROW = re.compile(r"^[ \t:]*(?:\{\||\|-).*$", re.M)
 _CELL = re.compile(r"(?<=[|!])(?:\s*[a-z]+\s*=\s*(?:\"[^\"\n]*\"|[\w%#]+))+\s*\|(?!\|)", re.I)
 _TEMPLATE = re.compile(r"\{\{\s*[#:\w][^{}|]*(\||\}\})")
-_NAMED = re.compile(r"\|\s*[\w -]{1,30}\s*=(?!=)")
+_NAMED = re.compile(r"\|\s*\w[\w -]*\s*=(?!=)")
 _MAGIC = re.compile(r"__[A-Z]+__")
 _INVISIBLE = re.compile("[­​‌‍⁠﻿]")
 _WORD = re.compile(r"[^\W_]+")
@@ -45,10 +45,9 @@ def visible(text: str) -> Iterator[str]:
             part = _NAMED.sub(" | ", _CELL.sub(" ", part)) if "=" in part else part
         if "[" in part:
             part = _FILE.sub("[[", part)
-            for _ in range(3):
+            n = 1
+            while n:  # the innermost links go first; each pass takes at least one pair of brackets away
                 part, n = _LINK.subn(r"\1", part)
-                if not n:
-                    break
             part = _EXTERNAL.sub(r"\1", part)
         part = part.replace("'''", "").replace("''", "")
         if "__" in part:

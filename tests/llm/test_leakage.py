@@ -57,8 +57,9 @@ def test_markup_case_and_edits(spark):
     assert {7, 8, 9, 14}.isdisjoint(d for d, _, _ in got)
 
 
-def test_short_items_blocks_and_empty_tables(spark, monkeypatch):
-    monkeypatch.setattr(leakage, "BLOCK_ITEMS", 1)
+def test_short_items_crowded_filter_and_empty_tables(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "BROADCAST_ITEMS", 1)
+    monkeypatch.setattr(leakage, "MOST_BITS", 13)
     items = [(1, ITEM), (2, "too short"), (3, None), (4, ITEM)]
     assert found(spark, [(1, ITEM)], items) == [(1, 1, 0), (1, 4, 0)]
     assert found(spark, [], items) == [] and found(spark, [(1, ITEM)], [(2, "")]) == []
@@ -67,17 +68,49 @@ def test_short_items_blocks_and_empty_tables(spark, monkeypatch):
 def test_windows_against_brute_force():
     rng = random.Random(9)
     own = [f"w{i}" for i in range(20)]
-    known = leakage.Items([(1, " ".join(own))], 12, 1)
+    known = leakage.Item(own, 12, 1)
     for _ in range(300):
         a = rng.randint(0, 8)
         text = [*rng.choices("xyz", k=3), *own[a : a + rng.randint(9, 14)], *rng.choices("xyz", k=3)]
         if rng.random() < 0.5:
             text[rng.randrange(len(text))] = "x"
         best = min(edit(own[i : i + 12], text) for i in range(9))
-        assert known.matches(" ".join(text)).get(1, 2) == min(best, 2)
+        assert known.distance(text) == min(best, 2)
 
 
 def test_visible_text_survives_broken_markup():
     for t in ("[[a", "{{a|b", "<b", "<!-- x", "{|", "'''''", "&amp;amp; &bogus;", "]]}}", "<ref>x"):
         list(visible(t))
     assert words("Café café under_score x­y") == ["café", "café", "under", "score", "xy"]
+
+
+def test_links_in_links_and_long_argument_names():
+    deep = "[[a|" * 9 + "hello world" + "]]" * 9
+    assert [w for part in visible(f"x {deep} y") for w in words(part)] == ["x", "hello", "world", "y"]
+    assert [w for part in visible("{{box|" + "a rather long name of an argument that goes on" + "=value}}") for w in words(part)] == ["value"]
+
+
+def test_many_items_against_every_window(spark):
+    """More items than the filter has room for, in texts that hold pieces, edited windows and whole windows."""
+    rng = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(10, 30)))) for i in range(60)]
+    docs = []
+    for d in range(80):
+        text = rng.choices(vocabulary, k=rng.randint(0, 30))
+        for _ in range(rng.randint(0, 2)):
+            own = items[rng.randrange(60)][1].split(" ")
+            at = rng.randrange(max(1, len(own) - 11))
+            piece = own[at : at + rng.randint(6, 14)]
+            if rng.random() < 0.5:
+                piece[rng.randrange(len(piece))] = "zz"
+            text += [*piece, *rng.choices(vocabulary, k=3)]
+        docs.append((d, " ".join(text)))
+    want = []
+    for d, t in docs:
+        for i, p in items:
+            own = p.split(" ")
+            best = min((edit(own[s : s + 12], t.split(" ")) for s in range(len(own) - 11)), default=9)
+            if best <= 1:
+                want.append((d, i, best))
+    assert found(spark, docs, items) == sorted(want) and len(want) > 10
