@@ -1,14 +1,16 @@
 """Personal information inside free text: e-mail addresses, phone numbers, identity numbers, street addresses, names.
 
-Regular expressions propose spans, checksums (Luhn, mod 97) confirm numbers that nothing else explains, and words close
-by raise or lower the score of each span; spans that reach their threshold are kept. Everything is decided inside one
-line and the e-mail addresses and phone numbers close to it on other lines, so a line is judged once per worker however
-many revisions repeat it. Only found values leave the scan.
+Regular expressions propose spans, validators of each kind of number (Luhn, mod 97, letters and digits of national
+numbers) confirm or weaken them, and words close by raise or lower the score of every span; spans that reach the
+threshold of their kind are kept. Everything is decided inside one line and the e-mail addresses and phone numbers close
+to it on other lines, so a line is judged once per worker however many revisions repeat it. Only found values leave the
+scan.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -36,20 +38,30 @@ DE_PREPOSITIONS = "am|an der|an den|an dem|auf der|auf dem|auf den|im|in der|in
 FR_STREETS = "rue|allée|allee|avenue|av\\.|place|quai|chemin|impasse|boulevard|bd|bld|cours|route|passage|sentier|square|ruelle|faubourg|venelle"
 ES_STREETS = "calle|c/|avenida|avda\\.?|av\\.|plaza|pza\\.?|paseo|camino|carretera|ctra\\.?|ronda|travesía|callejón|pasaje|cuesta|glorieta|rambla|vía"
 TITLES = "mrs?|ms|miss|dr|prof|sir|lady|herrn?|frau|mme|mlle|monsieur|madame|sra?|srta|señora?|señorita|don|doña"
-NOT_NAMES = """the|a|an|as|in|on|at|by|to|of|for|from|with|and|or|is|it|its|this|that|until|between|before|after|see|also|visitors|according|questions|complaints|photo|foto|photograph|contact|contacto|kontakt|regards|parcels
-|sent|scan|text|guided|unsigned|personal|letter|plan|fax|call|ask|name|reward|street|road|passport|id|ssn|dni|ni|auskunft|führungen|den|der|die|das|ein|eine|des|dem|im|am|an|und|von|zu|mit|bei|les|le|la|las|los|el|un|une|una|y|et|ou|pour|para
-|visites|visitas|ansprechpartner|nachlass|tel|tél|mail|email|phone|mr|mrs|ms|miss|dr|prof|sir|herr|herrn|frau|mme|mlle|sr|sra|señor|señora|don|doña|january|february|march|april|june|july|august|september|october|november|december
-|januar|februar|märz|mai|juni|juli|oktober|dezember|was|has|jahr|seit|bis|zwischen|heute|depuis|entre|desde|hasta|wrong|false|above|everything|isbn|grid|order|route|category|file|datei|wer|appelez|llama|way|me"""
+NOT_NAMES = """the|a|an|as|in|on|at|by|to|of|for|from|with|and|or|but|is|was|are|were|has|had|it|its|he|she|they|we|you|my|our|his|her|their|this|that|these|those|until|till|between|before|after|since|during|when|where|who|see|also|here|there|now|then|not|no|all|every
+|der|die|das|den|dem|des|ein|eine|einen|einem|einer|und|oder|von|vom|zu|zum|zur|mit|bei|beim|im|am|an|auf|aus|nach|vor|bis|seit|für|über|unter|ist|war|wird|wurde|hat|er|sie|es|wir|ihr|wer|wo|hier|heute|jahr|zwischen
+|le|la|les|un|une|des|du|de|et|ou|où|en|au|aux|dans|sur|sous|pour|par|avec|chez|est|était|il|elle|on|ce|cette|ces|son|sa|ses|depuis|entre|avant|après
+|el|los|las|unos|y|e|o|del|al|en|con|por|para|sin|desde|hasta|es|era|fue|lo|su|sus|este|esta|hoy
+|january|february|march|april|june|july|august|september|october|november|december|januar|februar|märz|mai|juni|juli|oktober|dezember|enero|febrero|marzo|abril|junio|julio|agosto|octubre|noviembre|diciembre|janvier|février|mars|avril|juin|juillet|août|octobre|novembre|décembre
+|tel|tél|fax|phone|mail|email|e-mail|isbn|file|datei|category|street|road|visitors|questions|according|photo|photograph|foto|scan|text|letter|plan|route|grid|order|false|wrong|unsigned|auskunft|führungen|visites|visitas"""
 PLACE_STARTS = "upper|lower|port|bad|saint|san|santa|new|old|north|south|east|west|mount|fort|lake|river|great|little|st"
 THINGS = """bridge|mill|lock|bay|works|foundry|reservoir|station|railway|canal|tower|church|chapel|castle|park|house|hall|museum|library|school|harbour|harbor|pier|quay|dock|dockyard|market|brewery|tannery|quarry|valley|garden|orchard
 |street|road|lane|avenue|court|terrace|close|walk|hill|row|crescent|drive|square|company|ltd|inc|gmbh|sons|society|club|university|island|river|lake|inn|hotel|farm|well|point|ferry|lighthouse|windmill|brücke|mühle|turm|kirche|burg|hof|schule|straße
 |pont|moulin|tour|église|château|gare|puente|molino|torre|iglesia|castillo|estación"""
 PHONE_WORDS = "tel|tél|telefon|téléphone|teléfono|phone|fax|mobil|mobile|cell|call|ruft|anrufen|appelez|appeler|llama|llamar|text me|ring"
+MAIL_WORDS = "e-?mail|mail|courriel|correo|contact|kontakt|contacto|write|schreib(?:en|t)?|écrire|escribir|reach|ask|regards"
+ADDRESS_WORDS = "address|adresse|anschrift|dirección|lives at|wohnt|habite|vive en|resides at|domiciled"
 NUMBER_OF_THINGS = "isbn|issn|inventory|catalogue|catalog|shelfmark|sheet|grid|ref\\.|order|release|version|lot|population|census|oldid|diff|coord|page|vol|edition|map|berth|doi|inventar|einwohner|inventaire|población"
-BEFORE_NAMES = r"""contact|contacto|kontakt|ansprechpartner(?:in)?|photo(?:graph(?:s|ed)?)?(?:\ by)?|foto(?:grafie)?|picture\ by|author|owner|caretaker|name|nombre|nom|attn\.?|attention|regards,|best,|yours,|grüße,|saludos,
-|(?:checked|kept|drawn|redrawn|written|taken|signed|made|owned|held|photographed|reported|led)\ by|issued\ to|belongs\ to|letter\ from|message\ from|book\ with|speak\ to|write\ to|(?:photographs|questions|enquiries|complaints)\ go\ to
-|(?:museum|attention|care)\s*:|call|ask(?:\ for)?|(?:grand)?(?:father|mother)|uncle|aunt|brother|sister|auskunft\ gibt|absprache\ mit|verwahrt|ruft|bitte|nachlass\ von|brief\ von|écrire\ à|chez|demandez|voir\ avec|lettre\ de|escribir\ a|guarda|preguntar?\ (?:por|a)|carta\ de"""
-AFTER_NAMES = r"""lives\ (?:at|in)|is\ a\ (?:liar|thief|crook|fraud)|noted\ in|wrote\ in|built\ this|on\ site|knows\ everything|he\ knows|she\ knows|wohnt|wohnhaft|fragen|habite|demeurant|vive\ en|reside\ en|domiciliad[oa]"""
+ROLES = r"""contact|contacto|kontakt|ansprechpartner(?:in)?|author|autor(?:in)?|auteur|owner|eigentümer(?:in)?|inhaber(?:in)?|propriétaire|propietari[oa]|caretaker|keeper|warden|hausmeister(?:in)?|gardien(?:ne)?|conserje|guard[ae]|photographer|fotograf(?:in)?
+|editor|curator|secretary|treasurer|chairman|chairwoman|director|manager|teacher|nurse|engineer|architect|mayor|bürgermeister(?:in)?|maire|alcalde(?:sa)?|lehrer(?:in)?|leiter(?:in)?|name|nombre|nom|attn\.?|attention|signed|photo(?:graph)?|foto(?:grafie)?|picture"""
+KIN = r"""(?:grand)?(?:father|mother|son|daughter)|uncle|aunt|brother|sister|cousin|nephew|niece|wife|husband|widow|neighbou?r|friend|colleague|vater|mutter|onkel|tante|bruder|schwester|nachbar(?:in)?|witwe|père|mère|oncle|frère|sœur|voisine?|veuve|padre|madre|tío|tía|hermano|hermana|vecin[oa]|viuda"""
+CLOSINGS = r"""regards|best|yours|sincerely|thanks|cheers|grüße|gruß|salutations|cordialement|saludos|atentamente"""
+BORN = r"""was\ born|born\ (?:in|on)|née?\ (?:en|le|à)|wurde\ geboren|geboren\ (?:in|am)|nació|naquit|est\ née?|died\ (?:in|on|at)|married|lives\ (?:at|in)|lived\ (?:at|in)|wohnt|wohnte|wohnhaft|habite|habitait|demeurant|vive\ en|vivía\ en|reside\ en|domiciliad[oa]|studied\ at|told\ me|told\ us|wrote\ (?:in|to|that)|noted\ (?:in|that)"""
+SENT = r"""letter\ from|message\ from|note\ from|call\ from|belongs\ to|lettre\ de|brief\ von|nachricht\ von|carta\ de"""
+ACTS = r"""is\ an?|was\ an?|has|had|said|says|wrote|built|keeps|kept|holds|owns|owned|moved|knows|works|worked|runs|ran|signed|ist|war|hat|sagt|schrieb|baute|besitzt|arbeitet|fragen|anrufen|est|a\ écrit|dit|possède|travaille|es|era|dice|escribió|tiene|trabaja|on\ site"""
+ASKS = r"""call|ring|phone|ask|ask\ for|see|meet|contact|reach|visit|tell|keeps|holds|by|ruft?|frag(?:t|en)?|bitte|anrufen|gibt|hat|hält|verwahrt|pflegt|appelez|appeler|demandez|demander|garde|tient|llama|llamar|pregunta|preguntar|guarda|tiene|lleva"""
+LEADS = "with|to|from|for|via|through|of|von|vom|mit|bei|an|für|durch|de|à|avec|chez|par|pour|a|con|por|para"
+PARTICIPLES = "ed|drawn|kept|written|taken|made|held|led|given|sold|built|sent|bought|found|known|run|shot|sung|told|taught"
 AT_WORDS, SPOKEN_AT_WORDS, DOT_WORDS = "at|arroba|arobase|ät|klammeraffe", "at|arroba|arobase", "dot|punkt|point|punto"
 # ---- end of fixed values ----
 
@@ -95,18 +107,28 @@ def needed(*patterns: str) -> tuple[str, ...]:
 
 
 #: Texts without which a rule cannot match, taken from the rule's own words; they only spare the rules work.
-ID_PARTS, NAME_PARTS, DOT_PARTS = needed(ID_LABELS), needed(BEFORE_NAMES, AFTER_NAMES), needed(DOT_WORDS)
+ID_PARTS, NAME_PARTS, DOT_PARTS = needed(ID_LABELS), needed(ROLES, KIN, CLOSINGS, BORN, SENT), needed(DOT_WORDS)
 
 _join = lambda s: "|".join(x.strip() for x in s.replace("\n", "|").split("|") if x.strip())
 _X = re.X | re.I
 
+#: Letters of every script that has capitals, as ranges of a character class.
+def _letters(*kinds: str) -> str:
+    points = [i for i in range(0x41, 0x2C00) if unicodedata.category(chr(i)) in kinds]
+    starts = [i for i, x in enumerate(points) if not i or points[i - 1] != x - 1]
+    return "".join(chr(points[a]) + (f"-{chr(points[b - 1])}" if b - a > 1 else "") for a, b in zip(starts, [*starts[1:], len(points)], strict=True))
+
+
+UP, LOW = _letters("Lu", "Lt"), _letters("Ll", "Lo", "Mn")
+
 _AT_SIGN = rf"(?:\s*[\[({{]\s*(?:{AT_WORDS})\s*[\])}}]\s*)"
 _DOT_SIGN = rf"(?:\s*[\[({{]\s*(?:{DOT_WORDS})\s*[\])}}]\s*|\s(?:{DOT_WORDS})\s)"
-_LOCAL = r"(?<![\w.+-])[a-z0-9](?:[\w.+-]*[\w+])?"
-_LABEL = r"[a-z0-9](?:[a-z0-9-]*[a-z0-9])?"
+_LOCAL = r"(?<![\w.+-])[^\W_](?:[\w.+-]*[\w+])?"
+_LABEL = r"[^\W_](?:[^\W_]|-(?=[^\W_]|-))*"
+_TLD = r"[^\W\d_]{2,}"
 _EMAIL = re.compile(
-    rf"{_LOCAL}(?:@|{_AT_SIGN}){_LABEL}(?:(?:\.|{_DOT_SIGN}){_LABEL})*(?:\.|{_DOT_SIGN})[a-z]{{2,}}(?![\w])"
-    rf"|{_LOCAL}\s(?:{SPOKEN_AT_WORDS})\s{_LABEL}(?:(?:\.|{_DOT_SIGN}){_LABEL})*{_DOT_SIGN}[a-z]{{2,}}(?![\w])",
+    rf"{_LOCAL}(?:@|{_AT_SIGN}){_LABEL}(?:(?:\.|{_DOT_SIGN}){_LABEL})*(?:\.|{_DOT_SIGN}){_TLD}(?![\w])"
+    rf"|{_LOCAL}\s(?:{SPOKEN_AT_WORDS})\s{_LABEL}(?:(?:\.|{_DOT_SIGN}){_LABEL})*{_DOT_SIGN}{_TLD}(?![\w])",
     re.I,
 )
 _AT_SEEN = re.compile(rf"[\[({{]\s*(?:{AT_WORDS})\s*[\])}}]")
@@ -118,16 +140,22 @@ _PHONES = (
     (2, 9, 9, re.compile(r"(?<![\w@/#.+-])[6789]\d{2}(?:([ .-])\d{3}\1\d{3}|(?:[ .]\d{2}){3})(?![\w@-]|[ .]\d)")),
 )
 _PHONE_NEAR = re.compile(rf"\b(?:{PHONE_WORDS})\b", re.I)
+_MAIL_NEAR = re.compile(rf"\b(?:{MAIL_WORDS})\b", re.I)
+_LIVES_NEAR = re.compile(rf"\b(?:{ADDRESS_WORDS})\b", re.I)
 _THING_NEAR = re.compile(rf"(?:\b|_)(?:{NUMBER_OF_THINGS})\b[^|;\n]{{0,24}}$", re.I)
 _ID_VALUE = r"(?:[A-Z]{1,5}[ -]?)?\d[0-9A-Z]*(?:[./-][0-9A-Z]*\d[0-9A-Z]*|\ \d{1,4}(?![\w]*[a-z]))*(?:[ -]?[A-Z]{1,2}(?![\w]))?"
 _ID = re.compile(rf"(?<!\w)(?i:(?:{_join(ID_LABELS)}))(?i:\ (?:no|nr|num|number|nummer|número|numéro|id)\b\.?|\ n[°º]|\ \#)?\s*[:=#]?\s*(?i:is\ )?(?P<v>{_ID_VALUE})", re.X)
+_MARKED = re.compile(r"(?:no|nr|num|number|nummer|número|numéro|id)\b\.?\s*[:=#]?\s*$|[°º#:=]\s*$", re.I)
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
-_CARD = re.compile(r"(?<![\w=.-])\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?![\w-])")
+_CARD = re.compile(r"(?<![\w=.-])(?:[3-6]\d{3}([ -]?)\d{4}\1\d{4}\1\d{4}|3[47]\d{2}([ -]?)\d{6}\2\d{5})(?![\w-])")
+_DNI = re.compile(r"(?<![\w.-])(?:\d{8}|[XYZ][ -]?\d{7})[ -]?[A-Z](?![\w-])")
+_NIR = re.compile(r"(?<![\w.-])[12](?: ?\d{2}){3}(?: ?\d{3}){2} ?\d{2}(?![\w-])")
+_NINO = re.compile(r"(?<![\w.-])[A-Z]{2}(?: ?\d{2}){3} ?[A-D](?![\w-])")
 
-_CAP = r"[A-ZÀ-ÖØ-Þ][\w'’]*(?:-[\w'’]+)*"
+_CAP = rf"[{UP}][\w'’]*(?:-[\w'’]+)*"
 _STREETS = (
-    re.compile(rf"(?<![\w.,/-])\d{{1,4}}[a-z]?\ (?:{_CAP}\ ){{1,3}}(?i:{EN_STREETS})(?![\w'’])\.?(?<!\.)|(?<![\w.,/-])\d{{1,4}}[a-z]?\ (?:{_CAP}\ ){{1,3}}(?i:st|rd|ave|ln|blvd)(?!\w)", re.X),
-    re.compile(rf"(?<![\w-])(?:{_CAP}[ -])?[A-ZÄÖÜ][\wäöüß]*(?i:{DE_STREETS})\ ?\d{{1,3}}\ ?[a-z]?(?![\w])"),
+    re.compile(rf"(?<![\w.,/-])\d{{1,4}}[A-Za-z]?\ (?:{_CAP}\ ){{1,3}}(?i:{EN_STREETS})(?![\w'’])\.?(?<!\.)|(?<![\w.,/-])\d{{1,4}}[a-z]?\ (?:{_CAP}\ ){{1,3}}(?i:st|rd|ave|ln|blvd)(?!\w)", re.X),
+    re.compile(rf"(?<![\w-])(?:{_CAP}[ -])?[{UP}]\w*(?i:{DE_STREETS})\ ?\d{{1,3}}\ ?[a-z]?(?![\w])"),
     re.compile(rf"(?<![\w-])(?i:{DE_PREPOSITIONS.replace(' ', chr(92) + ' ')})\ (?!(?i:jahr|januar|februar|märz|april|mai|juni|juli|august|september|oktober|november|dezember)\b)(?:{_CAP}\ ){{1,3}}\d{{1,3}}[a-z]?(?![\w]|\ (?:m|km|t|Tonnen)\b)", re.X),
     re.compile(rf"(?<![\w.,/-])\d{{1,4}}\ ?(?:bis|ter|[a-z])?,?\ (?i:{FR_STREETS})\ (?:(?i:de\ la|de\ l['’]|du|des|de|d['’]|aux?|à\ la|la|le|les|l['’])\ ?)?{_CAP}(?:[ -](?:(?i:de\ la|du|des|de|aux?)\ )?{_CAP})*", re.X),
     re.compile(rf"(?<![\w-])(?i:{ES_STREETS})\ ?(?:(?i:de\ las?|de\ los|del|de|las?|los|el)\ )?{_CAP}(?:\ (?:(?i:de\ las?|de\ los|del|de|y)\ )?{_CAP})*,?\ (?:n\.?[º°]\ ?)?\d{{1,4}}\ ?[a-z]?(?![\w])", re.X),
@@ -141,13 +169,24 @@ _STREET_PARTS = (
     tuple(w.replace("\\", "").replace("?", "") if "?" not in w else w.split("\\")[0] for w in ES_STREETS.split("|")),
 )
 
-_STOP = rf"(?!(?i:{_join(NOT_NAMES)})(?![\w]))"
-_NAME_WORD = rf"{_STOP}(?:[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ'’]+|[A-ZÀ-ÖØ-Þ]{{2,}})(?:-(?:[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ'’]+|[A-ZÀ-ÖØ-Þ]{{2,}}))*(?![\w@])"
-_NAME = re.compile(rf"(?<![\w@.-])(?:{_NAME_WORD}(?:\ [A-Z]\.)*\ {_NAME_WORD}|(?:[A-Z]\.\ ?)+{_NAME_WORD}|{_NAME_WORD},\ {_NAME_WORD}(?:\ [A-Z]\.)*)")
-_TITLE_ANY = re.compile(rf"(?<!\w)(?:(?i:{TITLES})\.?|M\.)\ [A-ZÀ-Þ]", re.X)
+_STOP = rf"(?!(?i:{_join(NOT_NAMES)}|{_join(ROLES)}|{_join(CLOSINGS)}|{TITLES})(?![\w'’]))"
+_ONE = rf"(?:(?:Mc|Mac|O['’]|D['’])?[{UP}][{LOW}'’]+|[{UP}]{{2,}})"
+_NAME_WORD = rf"{_STOP}{_ONE}(?:-{_ONE})*(?![\w@])"
+_NAME = re.compile(rf"(?<![\w@.-])(?:{_NAME_WORD}(?:\ [{UP}]\.)*(?:\ (?:(?:von|van)(?:\ de[rn]?)?|de(?:\ la)?|del|della|di|da))?\ {_NAME_WORD}|(?:[{UP}]\.\ ?)+{_NAME_WORD}|{_NAME_WORD},\ {_NAME_WORD}(?:\ [{UP}]\.)*)")
+_TITLE_ANY = re.compile(rf"(?<!\w)(?:(?i:{TITLES})\.?|M\.)\ [{UP}]", re.X)
 _TITLE_BEFORE = re.compile(rf"(?:(?<![\w])(?:(?i:{TITLES})\.?|M\.)\ )$")
-_CUE_BEFORE = re.compile(rf"(?:(?<!\w)(?i:{'|'.join(BEFORE_NAMES.replace(chr(10), '').split('|'))})\s*[:=]?\s*(?:\|\s*)?)$", re.X)
-_CUE_AFTER = re.compile(rf"[\s,]*(?:{AFTER_NAMES})\b", _X)
+_BY_ANY = re.compile(rf"(?i:{PARTICIPLES})\s(?i:by|to)(?!\w)")
+#: Cues right before a name and right behind it, and what each adds to its score.
+_BEFORE = (
+    (3, re.compile(rf"(?<!\w)(?i:{_join(ROLES)})\s*(?:[:=|]\s*|by\s+|\s)$", re.X)),
+    (3, re.compile(rf"(?<!\w)(?i:{_join(KIN)})\s*[:,]?\s*$", re.X)),
+    (3, re.compile(rf"(?<!\w)(?i:{_join(CLOSINGS)})\s*[,:—–-]+\s*$", re.X)),
+    (3, re.compile(rf"(?<!\w)(?i:{_join(SENT)})\s*[:=|]?\s*$", re.X)),
+    (3, re.compile(rf"\w*(?i:{PARTICIPLES})\s(?i:by|to)\s*[:=|]?\s*$")),
+    (2, re.compile(rf"(?<!\w)(?i:{_join(ASKS)})\s*[:=|]?\s*$", re.X)),
+    (1, re.compile(rf"(?:(?<!\w)(?i:{LEADS})|[:;=(])\s*$")),
+)
+_AFTER = ((3, re.compile(rf"[\s,]*(?:{BORN})\b", _X)), (2, re.compile(rf"[\s,]*(?:{ACTS})\b", _X)))
 _AND_BEFORE = re.compile(r"(?:\s(?:and|und|et|y|&|e)\s)$", re.I)
 _PLACE = re.compile(rf"(?:{PLACE_STARTS})(?=[ -])", re.I)
 _THING = re.compile(rf"(?<![\w-])(?:{_join(THINGS)})$", re.I)
@@ -176,6 +215,52 @@ def mod97(iban: str) -> bool:
     return turned.isalnum() and int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def spanish_letter(value: str) -> bool:
+    """Whether the letter of a DNI or NIE is the one its number has."""
+    return "TRWAGMYFPDXBNJZSQVHLCKE"[int(value[:-1].replace("X", "0").replace("Y", "1").replace("Z", "2")) % 23] == value[-1]
+
+
+def french_key(value: str) -> bool:
+    """Whether the last two digits of a French social security number are its key."""
+    return 97 - int(value[:13]) % 97 == int(value[13:])
+
+
+def german_check(value: str) -> bool:
+    """Whether the last digit of a German tax number is right (ISO 7064, mod 11, 10)."""
+    product = 10
+    for ch in value[:10]:
+        total = (int(ch) + product) % 10 or 10
+        product = total * 2 % 11
+    return (11 - product) % 10 == int(value[10])
+
+
+def british_shape(value: str) -> bool:
+    """Whether a national insurance number has a prefix and a suffix that are given out."""
+    return bool(re.fullmatch(r"(?!BG|GB|NK|KN|TN|NT|ZZ)[A-CEGHJ-PR-TW-Z][A-CEGHJ-NPR-TW-Z]\d{6}[A-D]", value))
+
+
+def american_ranges(value: str) -> bool:
+    """Whether area, group and serial of a social security number are in use."""
+    return value[:3] not in ("000", "666") and value[0] != "9" and value[3:5] != "00" and value[5:] != "0000"
+
+
+#: By words in the label (none: any label) and the shape of the number, the check that such a number must pass.
+VALIDATORS = (
+    (("dni", "nif", "nie"), re.compile(r"(?:\d{8}|[XYZ]\d{7})[A-Z]"), spanish_letter),
+    (("sécurité sociale",), re.compile(r"[1-478]\d{14}"), french_key),
+    (("steuer-id", "steuerid"), re.compile(r"\d{11}"), german_check),
+    (("ni number", "national insurance"), re.compile(r"[A-Z]{2}\d{6}[A-Z]"), british_shape),
+    (("ssn", "social security", "soc"), re.compile(r"\d{9}"), american_ranges),
+)
+
+
+def checked(label: str, value: str) -> bool | None:
+    """Whether a labelled number passes the check of its kind; None where no check is known."""
+    compact = re.sub(r"[\W_]", "", value).upper()
+    low = label.lower()
+    return next((check(compact) for words, shape, check in VALIDATORS if any(w in low for w in words) and shape.fullmatch(compact)), None)
+
+
 def _free(taken: list[Span], start: int, end: int) -> bool:
     return all(end <= s.start or start >= s.end for s in taken)
 
@@ -197,13 +282,19 @@ def _email_like(low: str) -> bool:
 
 def _numbers(line: str, low: str, taken: list[Span]) -> None:
     for m in _ID.finditer(line) if _has(low, ID_PARTS) else ():
-        value = m.group("v")
-        if sum(c.isdigit() for c in value) >= 5:
-            taken.append(Span(m.start("v"), m.end("v"), "id_number", 3))
-    for rx, check in ((_IBAN, mod97), (_CARD, luhn)):
+        value, label = m.group("v"), line[m.start() : m.start("v")]
+        digits = [c for c in value if c.isdigit()]
+        # a label counts 2, enough digits or a mark such as "no." 1 each; a mistyped number still names its owner
+        score = 2 + (len(digits) >= 5) + (len(digits) >= 3 and bool(_MARKED.search(label)))
+        score += {True: 1, False: -0.5, None: 0}[checked(label, value)] - 3 * (len(set(digits)) == 1 and len(digits) > 3)
+        if score >= 2.5:
+            taken.append(Span(m.start("v"), m.end("v"), "id_number", score))
+    for rx, check in ((_IBAN, mod97), (_CARD, luhn), (_NIR, french_key), (_DNI, spanish_letter), (_NINO, british_shape)):
         for m in rx.finditer(line):
             if _free(taken, *m.span()) and check(re.sub(r"[ -]", "", m.group())):
-                taken.append(Span(*m.span(), "id_number", 3))
+                score = 3 - 3 * bool(_THING_NEAR.search(line[max(0, m.start() - 40) : m.start()]))
+                if score >= 2:
+                    taken.append(Span(*m.span(), "id_number", score))
     for base, least, most, rx in _PHONES:
         for m in rx.finditer(line):
             start, end = m.span()
@@ -217,7 +308,7 @@ def _numbers(line: str, low: str, taken: list[Span]) -> None:
 
 def _names(line: str, low: str, taken: list[Span], outside: tuple[Span, ...] = ()) -> None:
     evidence = [*taken, *outside]
-    if not evidence and not _has(low, NAME_PARTS) and not _TITLE_ANY.search(line):
+    if not evidence and not _has(low, NAME_PARTS) and not _TITLE_ANY.search(line) and not _BY_ANY.search(line):
         return
     found: list[Span] = []
     at = 0
@@ -231,12 +322,16 @@ def _names(line: str, low: str, taken: list[Span], outside: tuple[Span, ...] = (
         before, after = line[max(0, start - 40) : start], line[end : end + 40]
         titled = _TITLE_BEFORE.search(before)
         lead = before[: titled.start()] if titled else before
-        score = 3.0 * bool(titled)
-        score += 3 * bool(_CUE_BEFORE.search(lead))
-        score += 3 * bool(_CUE_AFTER.match(after))
+        near = [s for s in evidence if s.start - end < NEAR and start - s.end < NEAR]
+        # a cue in capitals says nothing about a name in capitals: all words are shouted
+        shouted = lambda cue: value.isupper() and cue.group().strip().isupper()
+        cues = [3.0 * bool(titled)]
+        cues.append(max((n for n, rx in _BEFORE if (cue := rx.search(lead)) and not shouted(cue)), default=0))
+        cues.append(max((n for n, rx in _AFTER if (cue := rx.match(after)) and not shouted(cue)), default=0))
+        # weak cues count only beside another find
+        score = sum(n for n in cues if n >= 3 or near)
         if found and _AND_BEFORE.search(before) and 0 <= start - found[-1].end <= 6:
             score += 3
-        near = [s for s in evidence if s.start - end < NEAR and start - s.end < NEAR]
         score += 2 * bool(near)
         if any(0 <= s.start - end <= 3 and not line[end : s.start].strip(" (,;:|<") for s in near):
             score += 1
@@ -260,14 +355,23 @@ def _names(line: str, low: str, taken: list[Span], outside: tuple[Span, ...] = (
 
 def _emails(line: str, low: str, taken: list[Span]) -> None:
     for m in _EMAIL.finditer(line) if _email_like(low) else ():
-        taken.append(Span(*m.span(), "email", 3))
+        start, end = m.span()
+        written = "@" in m.group() or bool(_AT_SEEN.search(m.group().lower()))
+        quoted = line[max(0, start - 2) : start] == "''" and line[end : end + 2] == "''"
+        score = 2 + written + bool(_MAIL_NEAR.search(line[max(0, start - 40) : start])) - 2 * (quoted and not written)
+        if score >= 2:
+            taken.append(Span(start, end, "email", score))
 
 
 def _streets(line: str, low: str, taken: list[Span]) -> None:
     for rx, parts in zip(_STREETS, _STREET_PARTS, strict=True):
         for m in rx.finditer(line) if _has(low, parts) else ():
-            if _free(taken, *m.span()):
-                taken.append(Span(*m.span(), "street_address", 3))
+            start, end = m.span()
+            if _free(taken, start, end):
+                before = line[max(0, start - 40) : start]
+                score = 3 + bool(_LIVES_NEAR.search(before)) - 2 * bool(_THING_NEAR.search(before))
+                if score >= 2:
+                    taken.append(Span(start, end, "street_address", score))
 
 
 def line_spans(line: str, outside: tuple[Span, ...] = ()) -> tuple[Span, ...]:

@@ -2,6 +2,7 @@ from itertools import product
 
 import pytest
 
+from heldout import CLEAN, LABELLED
 from tallyloom.llm import pii
 
 CASES = {
@@ -39,26 +40,26 @@ CASES = {
         ("card 4111 1111 1111 1111 ok", "4111 1111 1111 1111"),
     ],
     "street_address": [
-        ("printed at 214 North Larkburn Street.", "214 North Larkburn Street"),
-        ("at 66a Marrow Ct, 7 Hill Rd", "7 Hill Rd"),
-        ("Foto, An der Hagebuttenmühle 226", "An der Hagebuttenmühle 226"),
-        ("wohnt Schilfallee 78a;", "Schilfallee 78a"),
-        ("in der Salzspeicherstr. 48", "Salzspeicherstr. 48"),
+        ("printed at 214 North Maple Street.", "214 North Maple Street"),
+        ("at 66a Walnut Ct, 7 Hill Rd", "7 Hill Rd"),
+        ("Foto, An der Kirschmühle 226", "An der Kirschmühle 226"),
+        ("wohnt Birkenallee 78a;", "Birkenallee 78a"),
+        ("in der Gartenstr. 48", "Gartenstr. 48"),
         ("habite 206b, chemin du Grand-Pré, x", "206b, chemin du Grand-Pré"),
-        ("Contact, 54 allée du Marché-aux-Clous, tél", "54 allée du Marché-aux-Clous"),
-        ("vive en C/ de los Alfareros, 208, tel", "C/ de los Alfareros, 208"),
-        ("Camino del Olmo Viejo 69; DNI", "Camino del Olmo Viejo 69"),
+        ("Contact, 54 allée du Vieux-Moulin, tél", "54 allée du Vieux-Moulin"),
+        ("vive en C/ de los Plateros, 208, tel", "C/ de los Plateros, 208"),
+        ("Camino del Roble Alto 69; DNI", "Camino del Roble Alto 69"),
     ],
     "person_name": [
-        ("Contact: Fintan S. Vessley; x", "Fintan S. Vessley"),
-        ("kept by Mrs Edda Marwick at", "Edda Marwick"),
-        ("Frau Wexel, Linnea wohnt", "Wexel, Linnea"),
-        ("La señora C. Bexleysen vive en", "C. Bexleysen"),
-        ("M. Quirin Ostromann-Oskel habite", "Quirin Ostromann-Oskel"),
-        ("checked by Ulrika Wexel and Oskel, Piet on site.", "Oskel, Piet"),
-        ("this page is WRONG call INGVAR DUNN on", "INGVAR DUNN"),
-        ("Foto: Fintan Pogare, Camino Molino Bajo, 16", "Fintan Pogare"),
-        ("| Ondrej Vess || +16175550127 ||", "Ondrej Vess"),
+        ("Contact: Frank S. Harper; x", "Frank S. Harper"),
+        ("kept by Mrs Edith Bennett at", "Edith Bennett"),
+        ("Frau Keller, Linda wohnt", "Keller, Linda"),
+        ("La señora C. Romero vive en", "C. Romero"),
+        ("M. Pierre Martin-Petit habite", "Pierre Martin-Petit"),
+        ("checked by Ursula Keller and Olsen, Piet on site.", "Olsen, Piet"),
+        ("this page is WRONG call PETER DUNN on (303) 555-0152", "PETER DUNN"),
+        ("Foto: Frank Moran, Camino Monte Claro, 16", "Frank Moran"),
+        ("| Ondrej Novak || +16175550127 ||", "Ondrej Novak"),
     ],
 }
 
@@ -88,7 +89,7 @@ def test_checksums():
 
 
 def test_tables(spark):
-    text = "Photo: Kjell Redath, printed at 214 North Larkburn Street.\nText me 07700 900565, 07700 900565"
+    text = "Photo: Peter Reed, printed at 214 North Maple Street.\nText me 07700 900565, 07700 900565"
     data = [(1, text, "x"), (2, None, "x"), (3, "", "x"), (4, text, "x"), (5, "word " * 100_000 + "\n" + text, "x")]
     docs = spark.createDataFrame(data, "doc_id bigint, text string, kind string")
     got = [tuple(r) for r in pii.find(docs).collect()]
@@ -101,7 +102,7 @@ def test_tables(spark):
 
 UNSPARED = {
     "email": ["jan at beispiel (punkt) de", "maria at ejemplo [punto] es", "x at y {dot} com", "a { at } b.de", "a ( ät ) b.de", "a (\tAT) b.de", "x at y poİnt fr"],
-    "person_name": ["issued to: Jane Roe", "write to: Jane Roe", "questions go to| Jane Roe", "lettre de Jane Roe", "it belongs to=Jane Roe", "Jane Roe,is a liar", "lıves nowhere, miſſ; Jane Roe LİVES IN x"],
+    "person_name": ["issued to: Jane Roe", "sister: Jane Roe", "letter from| Jane Roe", "lettre de Jane Roe", "it belongs to=Jane Roe", "Jane Roe,was born in x", "lıves nowhere, miſſ; Jane Roe LİVES IN x"],
 }
 
 
@@ -114,7 +115,8 @@ def test_filters_never_change_what_is_found(monkeypatch):
     ats = [f"{b[0]}{s}{w}{s}{b[1]}" for b, s, w in product(("()", "[]", "{}"), ("", " "), ("at", "ÄT", "Klammeraffe"))] + [" at ", " Arroba ", "@"]
     dots = [f"{b[0]}{s}{w}{s}{b[1]}" for b, s, w in product(("()", "[]", "{}"), ("", " "), ("dot", "Punkt", "punto"))] + [" point ", "."]
     lines = [f"jo{a}net{d}test" for a, d in product(ats, dots)]
-    cues = [t for p in (pii.BEFORE_NAMES, pii.AFTER_NAMES) for t, _ in pii._texts(p)[0]]
+    cues = [t for p in (pii.ROLES, pii.KIN, pii.CLOSINGS, pii.BORN, pii.SENT) for t, _ in pii._texts(p)[0]]
+    cues += ["drawn by", "repaired by", "given to"]
     lines += [x for c in cues for x in (f"{c}: Jane Roe", f"{c.upper()} Jane Roe", f"{c}|Jane Roe", f"Jane Roe {c} x", f"Jane Roe,{c}")]
     lines += [f"{t.upper() if up else t} no. 40771030" for t, _ in pii._texts(pii.ID_LABELS)[0] for up in (0, 1)]
     lines += [f"12 {a} Rosen{w} 7 {a} {w} Rosen 7" for w in "st ave strasse straße str. weg rue av. c/ avda plaza am zum".split() for a in ("Alt", "")]
@@ -128,13 +130,13 @@ def test_filters_never_change_what_is_found(monkeypatch):
 #: Names labelled by hand in phrasings that no list of the operator holds: with a contact near, and without.
 NEAR_CONTACT = [
     ("The keys are with Jane Roe these days, mail roe@net.test.", "Jane Roe"), ("Jane Roe\n+1 (303) 555-0102", "Jane Roe"), ("jane@net.test\n\nJane Roe", "Jane Roe"),
-    ("Bookings through Piet Oskel, evenings only, +44 7700 900105", "Piet Oskel"), ("Das Boot pflegt Linnea Wexel aus dem Ort, Tel. 030/23125-312", "Linnea Wexel"),
-    ("Il faut passer par Quirin Ostromann pour entrer, tél. 01.99.00.43.08", "Quirin Ostromann"), ("Las llaves las tiene Marta Bexley por la tarde, tel. +34 900 55 04 87", "Marta Bexley"),
-    ("| Ondrej Vess\n| +16175550127", "Ondrej Vess"), ("Edda Marwick\n12 people\nedda@net.test", "Edda Marwick"), ("reachable on +1 617 555 0182\nthe warden, E. Marwick, sleeps late", "E. Marwick"),
+    ("Bookings through Piet Olsen, evenings only, +44 7700 900105", "Piet Olsen"), ("Das Boot pflegt Linda Keller aus dem Ort, Tel. 030/23125-312", "Linda Keller"),
+    ("Il faut passer par Pierre Martin pour entrer, tél. 01.99.00.43.08", "Pierre Martin"), ("Las llaves las tiene Marta Romero por la tarde, tel. +34 900 55 04 87", "Marta Romero"),
+    ("| Ondrej Novak\n| +16175550127", "Ondrej Novak"), ("Edith Bennett\n12 people\nedda@net.test", "Edith Bennett"), ("reachable on +1 617 555 0182\nthe warden, E. Bennett, sleeps late", "E. Bennett"),
 ]
 BARE = [
-    ("The survey was led in the end by the engineer Ulrika Wexel in 1950.", "Ulrika Wexel"), ("Everybody in town remembers Jane Roe.", "Jane Roe"), ("Später übernahm Piet Oskel den Hof.", "Piet Oskel"),
-    ("Puis Quirin Ostromann vendit le moulin.", "Quirin Ostromann"), ("Luego Marta Bexley vendió la finca.", "Marta Bexley"),
+    ("The survey was led in the end by the engineer Ursula Keller in 1950.", "Ursula Keller"), ("Everybody in town remembers Jane Roe.", "Jane Roe"), ("Später übernahm Piet Olsen den Hof.", "Piet Olsen"),
+    ("Puis Pierre Martin vendit le moulin.", "Pierre Martin"), ("Luego Marta Romero vendió la finca.", "Marta Romero"),
 ]
 
 
@@ -148,7 +150,44 @@ def test_no_name_near_a_contact(text):
     assert "person_name" not in [s.kind for s in pii.spans(text)]
 
 
-def test_recall_of_the_labelled_set():
-    """The figure in the README: bare names without a contact are lost."""
-    cases = NEAR_CONTACT + BARE
-    assert sum(v in [t[s.start : s.end] for s in pii.spans(t) if s.kind == "person_name"] for t, v in cases) >= 10 and len(cases) == 15
+def figures(cases):
+    """kind -> (precision, recall) over labelled texts."""
+    hits, wanted, found = (dict.fromkeys(pii.KINDS, 0) for _ in range(3))
+    for text, want in cases:
+        right = {(k, v) for k, values in want.items() for v in values}
+        got = {(s.kind, text[s.start : s.end]) for s in pii.spans(text)}
+        for count, pairs in ((hits, got & right), (wanted, right), (found, got)):
+            for k, _ in pairs:
+                count[k] += 1
+    return {k: (hits[k] / max(1, found[k]), hits[k] / max(1, wanted[k])) for k in pii.KINDS}
+
+
+def test_held_out_texts():
+    """The figures in the README: precision and recall per kind on phrasings that no list was made for."""
+    got = figures([*LABELLED, *[(t, {}) for t in CLEAN]])
+    assert all(precision == 1 for precision, _ in got.values())
+    assert all(recall >= 0.9 for k, (_, recall) in got.items() if k != "person_name") and got["person_name"][1] >= 0.8
+
+
+def test_validators():
+    assert pii.spanish_letter("12345678Z") and not pii.spanish_letter("12345678A") and pii.spanish_letter("X1234567L")
+    assert pii.german_check("86095742719") and not pii.german_check("86095742718")
+    assert pii.french_key("185057800608436") == (97 - 1850578006084 % 97 == 36) and pii.french_key("1850578006084" + f"{97 - 1850578006084 % 97:02d}")
+    assert pii.british_shape("AB123456C") and not pii.british_shape("QC123456D") and not pii.british_shape("GB123456A")
+    assert pii.american_ranges("219099999") and not any(map(pii.american_ranges, ("000123456", "666123456", "219009999", "219090000", "912345678")))
+    score = lambda t: max((s.score for s in pii.spans(t) if s.kind == "id_number"), default=0)
+    assert score("DNI 12345678Z") > score("DNI 12345678A") > 0 == score("SSN 000-00-0000")  # wrong letters weaken, placeholders go
+
+
+@pytest.mark.parametrize(("text", "found"), [("12345678Z", True), ("12345678A", False), ("4111 1111 1111 1111", True), ("Inventory no. 4111 1111 1111 1111", False), ("ID card no. 4711", True), ("passport 1960 was a year", False)])
+def test_numbers_by_check_and_context(text, found):
+    assert bool([s for s in pii.spans(text) if s.kind == "id_number"]) is found
+
+
+def test_context_moves_every_kind():
+    score = lambda t, k: next((s.score for s in pii.spans(t) if s.kind == k), 0)
+    assert score("mail jo@net.test", "email") > score("so jo@net.test", "email")
+    assert score("''jo at net dot test''", "email") == 0 < score("jo at net dot test", "email")
+    assert score("she lives at 4 Privet Drive", "street_address") > score("saw 4 Privet Drive", "street_address")
+    assert score("sheet 4 Privet Drive", "street_address") == 0
+    assert score("call 212-555-0162", "phone") > score("so 212-555-0162", "phone")
