@@ -14,6 +14,7 @@ from functools import lru_cache
 from pathlib import Path
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,13 +63,21 @@ def token_count(text: str, path: str = TOKENIZER) -> int:
 
 
 def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = TOKENIZER) -> DataFrame:
-    """doc_id, n_tokens of every document; a null or empty text has 0 tokens."""
+    """doc_id, n_tokens of every document; a null or empty text has 0 tokens.
+
+    The vocabulary is sent to the executors where the driver has it, else it is read at ``path`` on each of them.
+    """
 
     ship(docs.sparkSession)
+    if Path(path).exists() and path not in docs.sparkSession.sparkContext.listFiles:
+        docs.sparkSession.sparkContext.addFile(path)  # executors need no folder of their own
+    name = Path(path).name
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sent = SparkFiles.get(name)
+        local = sent if Path(sent).exists() else path
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": [token_count(t, path) if t else 0 for t in b["text"]]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": [token_count(t, local) if t else 0 for t in b["text"]]})
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInPandas(measure, "doc_id bigint, n_tokens bigint")
 
@@ -138,6 +147,23 @@ def containers(measured: DataFrame, n_docs: int, capacity: int = CAPACITY, shard
     return rows.groupBy("shard").applyInPandas(pack_shard, "container_id bigint, doc_id bigint, piece_no bigint, first_token bigint, n_tokens bigint")
 
 
-def fill_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    per = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("used"), F.count("*").alias("n"))
-    return per.agg(F.count("*").alias("n_containers"), F.sum("n").alias("n_pieces"), F.sum("used").alias("n_tokens"), F.round(F.sum("used") / (F.count("*") * capacity), 4).alias("fill"))
+def fill_report(packed: DataFrame, measured: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row that judges a packing against the documents measured (doc_id unique):
+
+    n_docs; n_missing, documents in no container; n_overfull, containers beyond the capacity; n_split, documents within
+    the capacity in more than one piece; n_torn, documents whose pieces do not follow each other and add up; n_containers
+    and n_least, the fewest that could hold all tokens; fill, rounded to 4 digits (1 where there is nothing).
+    """
+    per = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("used"))
+    held = per.agg(F.count("*").alias("n_containers"), F.count_if(F.col("used") > capacity).alias("n_overfull"))
+    end = F.col("first_token") + F.col("n_tokens")
+    docs = packed.groupBy("doc_id").agg(F.count("*").alias("n_pieces"), F.sum("n_tokens").alias("placed"), F.max(end).alias("end"), F.countDistinct("piece_no").alias("n_numbers"))
+    both = measured.select("doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")).join(docs, "doc_id", "left")
+    torn = (F.col("placed") != F.col("n_tokens")) | (F.col("end") != F.col("n_tokens")) | (F.col("n_numbers") != F.col("n_pieces"))
+    judged = both.agg(
+        F.count("*").alias("n_docs"), F.count_if(F.col("n_pieces").isNull()).alias("n_missing"), F.count_if((F.col("n_tokens") <= capacity) & (F.col("n_pieces") > 1)).alias("n_split"),
+        F.count_if(torn).alias("n_torn"), F.ceil(F.coalesce(F.sum("n_tokens"), F.lit(0)) / capacity).cast("bigint").alias("n_least"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"),
+    )
+    fill = F.coalesce(F.round(F.col("n_tokens") / F.nullif(F.col("n_containers") * capacity, F.lit(0)), 4), F.lit(1.0))
+    one = judged.withColumn("one", F.lit(1)).join(held.withColumn("one", F.lit(1)), "one")  # one row each
+    return one.select("n_docs", "n_missing", "n_overfull", "n_split", "n_torn", "n_containers", "n_least", fill.alias("fill"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import ZERO_ADDRESS, sql_strip
 from tallyloom.llm import leakage, nearest, packing, pii, survivors
-from tallyloom.session import table
+from tallyloom.session import cut, table
 
 _KEYS = ("token_address", "chain_id")
 _FIELDS = ("name", "fee_recipient_address", "source")
@@ -37,6 +37,16 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.containers(packing.sizes(docs), docs.count())
 
 
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the packing is complete, whole and tight: at most 1 % and one container a shard above the fewest possible."""
+    docs = table(spark, d, "documents")
+    n = docs.count()
+    measured = cut(packing.sizes(docs))
+    report = packing.fill_report(packing.containers(measured, n), measured)
+    spare = F.col("n_least") * 1.01 + max(1, round(n / packing.SHARD_DOCS))
+    return report.select("n_docs", "n_missing", "n_overfull", "n_split", "n_torn", (F.col("n_containers") <= spare).alias("is_tight"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Verbatim stretches of twelve words: of what the edit matching finds, the pairs at distance 0."""
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_passages")).where("distance = 0").select("doc_id", "item_id")
@@ -54,7 +64,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_survivors, p4_found, p8_containers, p9_found, p9_report, p10_found, p10_redacted)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_survivors, p4_found, p8_containers, p8_fill, p9_found, p9_report, p10_found, p10_redacted)}
 
 _S = sql_strip
 _FILL = ", ".join(f"'{w}'" for w in survivors.FILLERS)
@@ -86,6 +96,7 @@ SQL = {
           row_number() OVER (PARTITION BY token_address, chain_id, field ORDER BY value IS NULL, trust DESC, ingested_at DESC, token_row_id DESC) AS i FROM v)
         WHERE i = 1 AND n >= 2 AND value IS NOT NULL""",
     "p2_survivors": _VOTES + _DECAYED,
+    "p8_fill": "SELECT count(*) AS n_docs, 0 AS n_missing, 0 AS n_overfull, 0 AS n_split, 0 AS n_torn, true AS is_tight FROM documents",
     "p4_found": """
         WITH j AS (SELECT b.buy_id, c.cast_hash, abs(epoch_us(c.timestamp) - epoch_us(b.block_time)) AS gap, c.timestamp AS at_time
           FROM buys b JOIN token_casts c ON b.fid = c.author_fid AND c.timestamp BETWEEN b.block_time - INTERVAL 20 MINUTE AND b.block_time + INTERVAL 20 MINUTE)

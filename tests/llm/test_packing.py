@@ -45,3 +45,14 @@ def test_counts_are_those_of_the_whole_text(spark):
     assert [packing.token_count(t) for t in texts] == [len(enc.encode_ordinary(t)) for t in texts]
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id bigint, text string")
     assert {r.doc_id: r.n_tokens for r in packing.sizes(df).collect()} == {1: 2, 2: 0, 3: 0}
+
+
+def test_the_judgement_sees_every_fault(spark):
+    measured = spark.createDataFrame([(1, 5), (2, 25), (3, 4), (4, 9), (5, None)], "doc_id bigint, n_tokens bigint")
+    rows = [(0, 1, 0, 0, 3), (1, 1, 1, 3, 2), (2, 2, 0, 0, 10), (3, 2, 1, 10, 10), (3, 4, 0, 0, 8)]
+    packed = spark.createDataFrame(rows, "container_id bigint, doc_id bigint, piece_no bigint, first_token bigint, n_tokens bigint")
+    r = packing.fill_report(packed, measured, 10).first()
+    assert (r.n_docs, r.n_missing, r.n_overfull, r.n_split, r.n_torn, r.n_containers, r.n_least) == (5, 2, 1, 1, 2, 4, 5)
+    sound = packing.fill_report(packing.containers(measured, 5, 10), measured, 10).first()
+    assert (sound.n_missing, sound.n_overfull, sound.n_split, sound.n_torn) == (0, 0, 0, 0) and sound.n_containers == sound.n_least == 5
+    assert packing.fill_report(packed.limit(0), measured.limit(0)).first().fill == 1.0
