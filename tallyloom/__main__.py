@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from tallyloom.queries import pipeline, products, reference
+from tallyloom.queries import MODULES
 from tallyloom.session import local_session
 
 
@@ -18,7 +18,7 @@ def known() -> dict:
     try:
         return import_module("__spark_entry__").queries()
     except ImportError:
-        return {k: f for m in (pipeline, reference, products) for k, f in m.QUERIES.items()}
+        return {k: f for m in MODULES for k, f in m.QUERIES.items()}
 
 
 def preflight(spark: SparkSession, root: str) -> list[tuple[str, bool, str]]:

@@ -6,19 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import address, blank_to_null, col, number, strip, whole
+from tallyloom.plans.contract import KINDS
 
 #: Words for "no value" in cells that are not text, and the spellings of truth.
 NO_VALUE = ("nan", "none", "null", "nat", "<na>", "<nil>")
 TRUE, FALSE = ("true", "t", "1", "yes", "y"), ("false", "f", "0", "no", "n")
-#: Columns by the type their name stands for; every other column is text.
-BY_NAME = {
-    "bigint": ("fid", "author_fid", "buyer_fid", "engager_fid", "brand_fid", "fee_recipient_fid", "chain_id", "tx_count", "likes_count", "recasts_count", "replies_count", "n_influencers", "priority", "follower_count", "following_count", "swap_count", "ledger_event_count"),
-    "double": ("amount_usd", "token_amount", "attributed_usd", "neynar_score", "balance", "assets", "amount0", "amount1", "weighted_score", "volume_usd", "volume_native", "cum_volume_usd", "price_usd", "market_cap_usd"),
-    "boolean": ("is_primary", "has_hl_activity"),
-    "timestamp": ("deployed_at", "block_time", "timestamp", "first_tx_at", "last_tx_at", "registered_at", "checked_at", "window_start", "window_end", "first_activity_at", "last_activity_at"),
-    "address": ("address", "token_address", "buyer_address", "deployer_address", "contract_address", "custody_address", "vault_address", "pool_address", "paired_token", "fee_recipient_address"),
-    "hash": ("tx_hash", "cast_hash", "target_cast_hash", "parent_hash"),
-}
 
 
 def present(c: Column | str) -> Column:
@@ -38,8 +30,8 @@ def moment(c: Column | str) -> Column:
 
 
 def mixed_address(c: Column | str) -> Column:
-    """Hex addresses in lower case; base58 addresses keep their case."""
-    s = present(c)
+    """Hex addresses in lower case; base58 addresses keep their case, and so does any word: only numbers know sentinels."""
+    s = blank_to_null(c)
     return F.when(F.lower(s).startswith("0x"), F.lower(s)).otherwise(s)
 
 
@@ -56,10 +48,9 @@ CLEANERS = {
     "boolean": boolean,
     "timestamp": moment,
     "address": mixed_address,
-    "hash": lambda c: F.lower(present(c)),
+    "hash": lambda c: F.lower(blank_to_null(c)),
     "string": blank_to_null,
 }
-_KIND = {name: kind for kind, names in BY_NAME.items() for name in names}
 
 
 def typed(df: DataFrame, required: tuple[str, ...] = (), overrides: dict[str, str] | None = None) -> DataFrame:
@@ -67,13 +58,13 @@ def typed(df: DataFrame, required: tuple[str, ...] = (), overrides: dict[str, st
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"missing required columns: {', '.join(missing)}")
-    kinds = _KIND | (overrides or {})
+    kinds = KINDS | (overrides or {})
     return df.select(*[CLEANERS[kinds.get(c, "string")](F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
 def bad_cells(raw: DataFrame, clean: DataFrame, columns: list[str]) -> DataFrame:
     """How many cells held something that is no value of their type, per column, counted on typed copies."""
-    pairs = [(F.col(f"`{c}`"), CLEANERS[_KIND.get(c, "string")](F.col(f"`{c}`"))) for c in columns]
+    pairs = [(F.col(f"`{c}`"), CLEANERS[KINDS.get(c, "string")](F.col(f"`{c}`"))) for c in columns]
     counted = raw.agg(*[F.count_if(present(a).isNotNull() & b.isNull()).alias(c) for c, (a, b) in zip(columns, pairs, strict=True)])
     return counted.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_bad")) for c in columns])))
 

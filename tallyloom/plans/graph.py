@@ -26,6 +26,8 @@ class GraphStep:
     policies: Mapping[str, Policy] = field(default_factory=dict)
     default: Policy = Policy.OVERWRITE
     required: bool = True
+    #: A stub only gives an edge somewhere to land: what the node carries already, its provenance too, stays.
+    stub: bool = False
 
 
 def stubs(label: str, *frames: DataFrame) -> DataFrame:
@@ -34,24 +36,37 @@ def stubs(label: str, *frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [f.select(*keys) for f in frames]).dropna().distinct()
 
 
-def load(steps: Sequence[GraphStep], sources: Mapping[str, DataFrame], graph: Mapping[str, DataFrame], stamp: Mapping[str, object]) -> dict[str, tuple[DataFrame, DataFrame]]:
+def last_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the last by ``row_no`` where the table has one, else the greatest; rows with a null key go."""
+    rows = rows.dropna(subset=list(keys))
+    rest = [c for c in rows.columns if c not in keys and c != "row_no"]
+    if not rest:
+        return rows.select(*keys).distinct()
+    order = F.struct(*[c for c in ("row_no",) if c in rows.columns], *rest)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("kept")).select(*keys, "kept.*")
+
+
+def load(steps: Sequence[GraphStep], sources: Mapping[str, DataFrame], graph: Mapping[str, DataFrame], stamp: Mapping[str, object], declared: Sequence[str] | None = None) -> dict[str, tuple[DataFrame, DataFrame]]:
     """The next state of every table the steps write, and its counters. Nothing runs until it is written.
 
-    All steps are checked before any is built: a required source that is missing raises, an optional one is skipped.
-    ``stamp`` is provenance that every row of the load carries.
+    All steps are checked before any is built. ``declared`` are the tables that the run's manifest names (all sources,
+    where there is none): a table that is declared but missing raises, and so does a required one that is not declared;
+    an optional one that is not declared is skipped. ``stamp`` is provenance that every row of the load carries. Of
+    several rows with one key the last counts; rows without a whole key write nothing.
     """
-    missing = [s.source for s in steps if s.required and s.source not in sources]
+    declared = set(sources) if declared is None else set(declared)
+    missing = sorted({s.source for s in steps if s.source not in sources and (s.required or s.source in declared)})
     if missing:
         raise FileNotFoundError(", ".join(missing))
     out: dict[str, tuple[DataFrame, DataFrame]] = {}
     for s in steps:
-        if s.source not in sources:
+        if s.source not in sources or s.source not in declared:
             continue
-        rows = s.build(sources[s.source]).withColumns({k: F.lit(v) for k, v in stamp.items()})
-        old = out[s.target][0] if s.target in out else graph.get(s.target)
-        if old is None:
-            old = rows.limit(0)
-        out[s.target] = (upsert(old, rows, s.keys, s.policies, s.default), changes(old, rows, s.keys))
+        rows = last_rows(s.build(sources[s.source]), s.keys).withColumns({k: F.lit(v) for k, v in stamp.items()})
+        before = out[s.target][0] if s.target in out else graph.get(s.target)
+        old = rows.limit(0) if before is None else before
+        policies = {k: Policy.CREATE_ONLY if s.stub else Policy.OVERWRITE for k in stamp} | dict(s.policies)
+        out[s.target] = (upsert(old, rows, s.keys, policies, s.default), changes(old, rows, s.keys))
     return out
 
 

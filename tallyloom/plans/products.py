@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions import uint256
 from tallyloom.functions.text import address, valid_address
-from tallyloom.operators import features, fold, match, pivot, rank, registry, resolve
+from tallyloom.operators import decode, features, fold, match, pivot, rank, registry, resolve
+from tallyloom.session import sized
 from tallyloom.sources import payloads
 
 FLOOR_USD = 50.0
@@ -47,7 +49,7 @@ def brand_engagement(engagements: DataFrame, brands: DataFrame, posts: DataFrame
     events = features.distinct_events(engagements.where("engager_fid <> brand_fid"), "engager_fid", "engagement", ("brand_fid", "cast_hash", "target_cast_hash"), "engaged_at", "weight")
     named = events.select(F.col("entity").alias("engager_fid"), F.col("same_0").cast("bigint").alias("brand_fid"), F.col("kind").alias("engagement_type"), F.col("same_1").alias("cast_hash"), F.col("same_2").alias("target_cast_hash"), F.col("at").alias("timestamp"))
     weights = brands.select(F.col("fid").alias("brand_fid"), "weight")
-    summary = pivot.weighted_pivot(named.join(F.broadcast(weights), "brand_fid"), ["engager_fid", "brand_fid"], "engagement_type", "weight")
+    summary = pivot.weighted_pivot(named.join(sized(weights), "brand_fid"), ["engager_fid", "brand_fid"], "engagement_type", "weight")
     return {"brand_engagements": named, "brand_engagement_summary": summary, "channel_engagement_summary": pivot.channel_summary(posts, reactions, "channel_id", "author_fid")}
 
 
@@ -77,11 +79,66 @@ def token_buyers(trades: DataFrame, registries: list[DataFrame], wallets: DataFr
 
 def popular_trades(trades: DataFrame, index: DataFrame, wallets: DataFrame, floor: float = FLOOR_USD) -> DataFrame:
     """Trades of index tokens by known wallets, folded per address, token, transaction and side."""
-    legs = trades.where(F.col("amount_usd") >= floor).join(F.broadcast(index.select("token_address", "chain_id").distinct()), ["token_address", "chain_id"], "left_semi")
+    legs = trades.where(F.col("amount_usd") >= floor).join(sized(index.select("token_address", "chain_id").distinct()), ["token_address", "chain_id"], "left_semi")
     mine = resolve.attach_account(legs.drop("address", "fid"), wallets, ["taker", "tx_from"])
     return fold.fold_legs(mine, ["fid", "address", "token_address", "chain_id", "side", "tx_hash"], ["amount_usd", "token_amount"]).drop("n_legs")
 
 
+def holdings(transfers: DataFrame, index: DataFrame, wallets: DataFrame, decimals: DataFrame) -> DataFrame:
+    """Balances of index tokens held by known wallets: exact sums over all history, credits less debits, above zero.
+
+    transfers: token, sender, receiver, value (decimal text), at. decimals: token, decimals. The scaled balance is a
+    rounded view; the raw one is exact.
+    """
+    moves = transfers.join(sized(index.select(F.col("token_address").alias("token")).distinct()), "token", "left_semi")
+    exact = fold.net_balances_exact(moves).where(~F.startswith("balance_raw", F.lit("-")) & (F.col("balance_raw") != "0"))
+    seen = moves.select("token", F.explode(F.array("sender", "receiver")).alias("holder"), "at").groupBy("token", "holder").agg(F.max("at").alias("last_activity_at"))
+    held = exact.join(seen, ["token", "holder"]).join(decimals.select("token", "decimals"), "token", "left")
+    known = resolve.attach_account(held, wallets, ["holder"])
+    return known.select("fid", "address", F.col("token").alias("token_address"), uint256.as_double(F.col("balance_raw"), F.coalesce("decimals", F.lit(18))).alias("balance"), "balance_raw", "last_activity_at")
+
+
+def vault_deposits(logs: DataFrame, vaults: DataFrame, wallets: DataFrame) -> DataFrame:
+    """Deposits into listed vaults by known wallets (owner, else sender), folded per wallet, vault and transaction.
+
+    logs: contract_address, topic1, topic2, data, tx_hash, block_time. vaults: vault_address, decimals.
+    """
+    listed = sized(vaults.select(F.col("vault_address").alias("contract_address"), "decimals"))
+    decoded = decode.deposits(logs.join(listed, "contract_address"))
+    mine = resolve.attach_account(decoded, wallets, ["owner", "sender"]).withColumns({"vault_address": F.col("contract_address"), "wide_assets": uint256.padded("assets_raw"), "wide_shares": uint256.padded("shares_raw")})
+    folded = mine.groupBy("fid", "address", "vault_address", "tx_hash").agg(
+        uint256.sum_padded(F.col("wide_assets")).alias("assets_raw"), uint256.sum_padded(F.col("wide_shares")).alias("shares_raw"), F.max("decimals").alias("decimals"), F.min("block_time").alias("block_time")
+    )
+    return folded.withColumn("assets", uint256.as_double(F.col("assets_raw"), F.coalesce("decimals", F.lit(18)))).drop("decimals")
+
+
+def lp_events(events: DataFrame, pools: DataFrame, index: DataFrame, decimals: DataFrame, wallets: DataFrame) -> DataFrame:
+    """Liquidity events of pools that hold an index token, one row per index token, by known wallets.
+
+    events: pool, event, actor, amount0, amount1, tx_hash, block_time. pools: pool, token0, token1. Amounts are scaled
+    by the decimals of their token; events of one transaction, pool and kind are summed.
+    """
+    listed = registry.with_decimals(pools, decimals)
+    rows = events.join(listed, "pool").withColumns({f"amount{i}": F.col(f"amount{i}") / F.pow(F.lit(10.0), F.col(f"decimals{i}")) for i in (0, 1)})
+    fanned = registry.fan_out_index(rows, index.select(F.col("token_address").alias("token")))
+    mine = resolve.attach_account(fanned, wallets, ["actor"])
+    return mine.groupBy("fid", "address", "pool", "token", "event", "tx_hash").agg(*[F.round(fold.money(f"amount{i}"), 4).alias(f"amount{i}") for i in (0, 1)], F.min("block_time").alias("block_time"))
+
+
+def launches(logs: DataFrame, creations: DataFrame, ops: DataFrame, fees: DataFrame, transactions: DataFrame) -> DataFrame:
+    """The launch registry of a chain out of its logs.
+
+    creations: token, tx. logs: tx, contract, idx; the first log of a created token in its own transaction dates the
+    launch. ops: tx, op_index, launcher; the launcher is that of the next operation. fees: topic (the token, padded),
+    data (pairs of beneficiary and share); the greatest share takes the fee. transactions: tx, sender.
+    """
+    own = logs.withColumnRenamed("contract", "token").join(creations, ["tx", "token"]).groupBy("tx", "token").agg(F.min("idx").alias("first_index"))
+    matched = match.nearest_forward(own, ops, "tx", "first_index", "op_index", ["launcher"]).select("token", "launcher")
+    shares = decode.address_shares(fees.withColumn("token", decode.word_address(F.col("topic"), 1)), "data")
+    best = rank.keep_first(shares, ["token"], [F.desc("share_hex"), F.asc("pair_no")]).select("token", F.col("beneficiary").alias("fee_recipient"))
+    return registry.registry(creations, matched, best, transactions, "token", "tx")
+
+
 def token_evangelists(casts: DataFrame, buys: DataFrame, engagements: DataFrame) -> dict[str, DataFrame]:
     """Casts per token, purchases split among the authors engaged with, and the summary per author.
 

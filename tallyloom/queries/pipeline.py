@@ -201,6 +201,7 @@ tried AS (SELECT tz AS feed, seen, w, unnest([{', '.join(f"'{z}'" for z in ZONES
 lags AS (SELECT feed, z AS zone, CASE WHEN ({wall}) AT TIME ZONE z = make_timestamp(w) AND NOT ({twice}) THEN epoch_us(seen) - epoch_us({wall}) END AS lag FROM tried)"""
 
 
+P7 = _p7_sql()
 SQL = {
     "p1_found": _P1 + "SELECT ref_table, row_id, period, reason FROM f WHERE reason IS NOT NULL",
     "p1_report": _P1 + "SELECT ref_table, period, reason, count(*) AS n_rows FROM f WHERE reason IS NOT NULL GROUP BY ALL",
@@ -223,8 +224,8 @@ SQL = {
         FROM (SELECT *, try_cast({sql_strip('leaf')} AS DECIMAL(38,6)) AS whole FROM leaves)) WHERE value IS NOT NULL""",
     "p5_users": f"""{_P5} SELECT record_id, up AS parent_no, pos AS item_no, CASE WHEN whole = floor(whole) THEN CAST(try_cast(whole AS BIGINT) AS VARCHAR) END AS fid, username
         FROM (SELECT *, try_cast({sql_strip('leaf')} AS DECIMAL(38,6)) AS whole, nullif({sql_strip("CASE WHEN json_type(v, '$.username') NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN v->>'$.username' END")}, '') AS username FROM leaves WHERE member = 'fid')""",
-    "p7_found": f"WITH {_p7_sql()} SELECT source_table, record_id, utc_us FROM zoned WHERE utc_us IS NOT NULL",
-    "p7_feeds": f"WITH {_p7_sql()} SELECT feed, zone, count(*) AS n_rows, count(*) FILTER (coalesce(lag NOT BETWEEN 0 AND 45 * 60000000::BIGINT, true)) AS n_wrong FROM lags GROUP BY ALL",
+    "p7_found": f"WITH {P7} SELECT source_table, record_id, utc_us FROM zoned WHERE utc_us IS NOT NULL",
+    "p7_feeds": f"WITH {P7} SELECT feed, zone, count(*) AS n_rows, count(*) FILTER (coalesce(lag NOT BETWEEN 0 AND 45 * 60000000::BIGINT, true)) AS n_wrong FROM lags GROUP BY ALL",
     "p6_found": _P6 + "SELECT engager_fid, engagement, count(*) AS n_events FROM e GROUP BY ALL",
     "p6_kinds": plain_sql(
         _P6

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions import clean, uint256
-from tallyloom.functions.text import address, blank_to_null, number, strip, whole
+from tallyloom.functions import clean
+from tallyloom.functions.text import address, strip
 from tallyloom.operators import decode, features, fold, match, pivot, rank, registry, resolve, upsert
 from tallyloom.operators.upsert import Policy
-from tallyloom.queries.views import CUSTODY, EVENTS, LEGS, OWNERS, WALLETS, A, custody, event_rows, leg_trades, plain, plain_sql, wallets
+from tallyloom.queries.views import EVENTS, LEGS, OWNERS, WALLETS, A, custody, event_rows, leg_trades, plain, plain_sql, wallets
 from tallyloom.session import table
 
 QUERIES = {}
@@ -79,15 +79,6 @@ def sided_trades(spark, d):
     return rows.select("tx", "leg", "side", "token", F.col("usd").cast("double").alias("usd"))
 
 
-@query(f"WITH {LEGS} SELECT count(*) AS n_legs, {M('usd')} AS usd FROM legs WHERE taker IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000) OR tx_from IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)")
-def membership_of_either(spark, d):
-    keys = table(spark, d, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("key"))
-    legs = leg_trades(spark, d).withColumn("row_no", F.monotonically_increasing_id())
-    taker = legs.join(keys.select(F.col("key").alias("taker"), F.lit(1).alias("by_taker")), "taker", "left")
-    both = taker.join(keys.select(F.col("key").alias("tx_from"), F.lit(1).alias("by_sender")), "tx_from", "left").where("by_taker = 1 or by_sender = 1")
-    return both.agg(F.count("*").alias("n_legs"), fold.money("usd").alias("usd"))
-
-
 _LISTED = "(SELECT n_nationkey FROM nation)"
 
 
@@ -231,12 +222,6 @@ def first_log_index(spark, d):
     return event_rows(spark, d).groupBy("user_id", "k").agg(F.min("event_id").alias("first_index"))
 
 
-@query(f"SELECT token_row_id, lower({A('token_address')}) AS token, contains({A('token_address')}, 'a') AS has_a FROM tokens WHERE substr({A('token_address')}, 40, 3) LIKE '%0%'")
-def vanity_suffix(spark, d):
-    t = table(spark, d, "tokens").select("token_row_id", address("token_address").alias("token"))
-    return t.where(F.contains(F.substring("token", 40, 3), F.lit("0"))).withColumn("has_a", F.contains("token", F.lit("a")))
-
-
 # ---------------------------------------------------------------- registries and pools: D6-D12, D19, D23, D24, E3, F8, F10, F11, C9, C10
 
 
@@ -453,14 +438,6 @@ def budgeted_topk_per_token(spark, d):
     return rank.budgeted(casts, ["token"], [F.desc("busy"), F.asc("cast_hash")], 3)
 
 
-@query("SELECT doc_id, CASE WHEN contains(lower(text), lower(title)) THEN 'address' WHEN length(trim(editor)) >= 3 AND contains(lower(text), '$' || lower(trim(editor))) THEN 'ticker' END AS matched_on FROM documents WHERE title IS NOT NULL")
-def cast_classify(spark, d):
-    docs = table(spark, d, "documents").where("title is not null")
-    none = F.lit(None).cast("string")
-    kind = clean.cast_match("text", none, none, F.lower("title"), F.col("editor"), F.lit("x"))
-    return docs.select("doc_id", kind.alias("matched_on"))
-
-
 # ---------------------------------------------------------------- cohorts and crawls: F20, I3, C17, C18, C20, H4, K1, K5, F24
 
 _COHORT = f"""{OWNERS}, s AS (SELECT {A('deployer_address')} AS address, NULL::BIGINT AS fid, 'deployers' AS source, 1 AS priority FROM deployments
@@ -515,16 +492,6 @@ def ledger_activity(spark, d):
     return rows.groupBy("address").agg(F.count("*").alias("ledger_event_count"), fold.money("usdc").alias("usdc"))
 
 
-@query("SELECT greatest(max(block_time), max(ingested_at)) AS newest FROM buys", times=("newest",))
-def newest_event_time(spark, d):
-    return table(spark, d, "buys").agg(F.max(F.greatest("block_time", "ingested_at")).alias("newest"))
-
-
-@query("SELECT chain_id, count(*) > 0 AS covered FROM trades GROUP BY 1")
-def source_coverage(spark, d):
-    return table(spark, d, "trades").select("chain_id").distinct().withColumn("covered", F.lit(True))
-
-
 # ---------------------------------------------------------------- upserts: L1-L9, H9, H10, F25
 
 _OLDNEW = """o AS (SELECT fid, arg_min(username, ingested_at) AS username, min(follower_count) AS follower_count, arg_min(custody_address, ingested_at) AS custody_address FROM accounts WHERE ingested_at < TIMESTAMPTZ '2025-06-01 00:00:00+00' GROUP BY 1),
@@ -603,11 +570,6 @@ def json_props_flatten(spark, d):
     return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"), F.nullif("event_type", F.lit("error")).alias("kind"))
 
 
-@query("SELECT update_id, try_cast(trim(usdc) AS DOUBLE) AS usdc, lower(trim(delta_type)) AS delta_type, nullif(lower(hash), '') AS hash FROM hyperliquid_info")
-def typed_clean(spark, d):
-    return table(spark, d, "hyperliquid_info").select("update_id", F.trim("usdc").try_cast("double").alias("usdc"), F.lower(F.trim("delta_type")).alias("delta_type"), F.lower(blank_to_null("hash")).alias("hash"))
-
-
 @query(f"SELECT token_row_id, repeat('00', 12) || substr({A('token_address')}, 3, 40) AS topic FROM tokens")
 def hex_topic_pad(spark, d):
     return table(spark, d, "tokens").select("token_row_id", F.lower(F.hex(clean.topic("token_address"))).alias("topic"))
@@ -627,10 +589,3 @@ def address_normaliser(spark, d):
 @query(f"SELECT DISTINCT 'eip155:' || chain_id || '/erc20:' || {A('token_address')} AS url FROM tokens")
 def token_urls(spark, d):
     return table(spark, d, "tokens").select(clean.token_url("chain_id", "token_address").alias("url")).distinct()
-
-
-@query("SELECT vec_id, CAST(CAST(vec_id AS HUGEINT) * 18446744073709551616 + vec_id AS VARCHAR) AS raw FROM embeddings")
-def uint256_from_bytes(spark, d):
-    """A big-endian word that holds the id in its last and its last but one eight bytes, as decimal text."""
-    word = F.concat(F.lpad(F.hex("vec_id"), 48, "0"), F.lpad(F.hex("vec_id"), 16, "0"))
-    return table(spark, d, "embeddings").select("vec_id", uint256.from_bytes(F.unhex(word), 1).alias("raw"))

@@ -36,7 +36,7 @@ def test_words_of_bytes(spark):
         ("double", [("1e3", 1000.0), ("<nil>", None), ("-", None)]),
         ("boolean", [("Yes", True), ("0", False), ("maybe", None), ("none", None)]),
         ("timestamp", [("2025-01-02T03:04:05Z", datetime(2025, 1, 2, 3, 4, 5)), ("2025-01-02 03:04:05 UTC", datetime(2025, 1, 2, 3, 4, 5)), ("2025-01-02", datetime(2025, 1, 2)), ("NaT", None), ("soon", None)]),
-        ("address", [("0xAB", "0xab"), ("So1Ana", "So1Ana"), ("null", None)]),
+        ("address", [("0xAB", "0xab"), ("So1Ana", "So1Ana"), ("null", "null"), (" ", None)]),
         ("string", [(" NULL ", "NULL"), ("  ", None)]),
     ],
 )
@@ -82,3 +82,18 @@ def test_signed_words_and_long_sums(spark):
     assert [r[0] for r in small.select(uint256.from_bytes(F.col("b"), 1, 2, True)).collect()] == ["-2", "32767"]
     many = spark.range(100_000).select(F.lit(str(TOP)).alias("v"))
     assert many.agg(uint256.sum_text("v")).first()[0] == str(100_000 * TOP)
+
+
+def test_every_column_of_the_contract_has_its_type(spark):
+    """All 23 tables read from text alone: numbers, times and truth are typed, text and addresses keep their words."""
+    from tallyloom.plans.contract import TABLES, kinds, schema
+
+    sample = {"bigint": ("7.0", 7), "double": ("1.5", 1.5), "boolean": ("yes", True), "timestamp": ("2025-01-02T03:04:05Z", datetime(2025, 1, 2, 3, 4, 5)), "address": ("0xAB", "0xab"), "hash": ("AB", "ab"), "string": (" nan ", "nan")}
+    tables = [(d, t) for d, ts in TABLES.items() for t in ts]
+    assert len(tables) == 23
+    for d, t in tables:
+        of = kinds(d, t)
+        raw = spark.createDataFrame([tuple(sample[k][0] for k in of.values())], ", ".join(f"`{c}` string" for c in of))
+        typed = clean.typed(raw, tuple(of))
+        assert tuple(typed.first()) == tuple(sample[k][1] for k in of.values()), (d, t)
+        assert dict(typed.dtypes) == schema(d, t), (d, t)

@@ -1,9 +1,8 @@
 import pytest
 
 from oracle import TABLES, same
-from tallyloom.queries import pipeline, products, reference
+from tallyloom.queries import MODULES
 
-MODULES = (pipeline, reference, products)
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="no tables")
 
 
