@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tallyloom.session import ship
+from tallyloom.session import cut, ship
+from tallyloom.sources import files
 from tallyloom.sources.runs import Run
 
 #: Answers after which a call is worth repeating.
@@ -171,23 +172,64 @@ def read_items(spark: SparkSession, shape: str, since: tuple[str, str] | None =
     return items.where(at.isNull() | (at >= F.lit(since[1]).cast("timestamp")))
 
 
-def look_up(keys: DataFrame, key: str, fetch: Callable[[list], list[dict]], schema: str, batch: int = 100) -> DataFrame:
-    """Answers for distinct keys, asked in batches where the keys lie. ``fetch`` gets a list of keys and returns rows;
-    a batch that fails leaves no rows."""
+def look_up(keys: DataFrame, key: str, fetch: Callable[[list], list[dict]], schema: str, batch: int = 100, policy: Policy | None = None) -> tuple[DataFrame, DataFrame]:
+    """Answers for distinct keys, asked in batches where the keys lie, and the keys that got none because a call failed.
+
+    ``fetch`` gets a list of keys and returns rows; every call keeps the policy's spacing and is repeated as it says,
+    and status 404 is an answer without rows. Each partition spaces its own calls: for a rate over all of them,
+    coalesce the keys. The answers are checkpointed, so nothing is asked twice; the second frame (key, reason) is empty
+    where the result is whole.
+    """
     ship(keys.sparkSession)
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
+    policy = policy or Policy()
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             values = b[key].tolist()
             for i in range(0, len(values), batch):
+                part = values[i : i + batch]
                 try:
-                    rows = fetch(values[i : i + batch])
-                except Failed:
-                    continue
+                    rows, reason = policy.call(lambda part=part: fetch(part)), None
+                except Failed as e:
+                    rows, reason = [], None if e.status == 404 else str(e)
+                answers = [(json.dumps({n: r.get(n) for n in names}, default=str), None, None) for r in rows]
+                yield pd.DataFrame(answers + ([(None, str(k), reason) for k in part] if reason else []), columns=["answer", "failed_key", "reason"])
+
+    asked = cut(keys.select(key).dropna().distinct().mapInPandas(ask, "answer string, failed_key string, reason string"))
+    found = asked.where("answer is not null").select(F.from_json("answer", schema).alias("a")).select("a.*")
+    return found, asked.where("reason is not null").select(F.col("failed_key").alias(key), "reason")
+
+
+def account_ranges(spark: SparkSession, start: int, end: int, fetch: Callable[[list], list[dict]], schema: str, batch: int = 100, empty: int = 25, policy: Policy | None = None) -> DataFrame:
+    """Accounts of a range of ids, in batches; a partition's chain of batches ends after ``empty`` batches without one."""
+    ship(spark)
+    names = [c.strip().split(" ")[0] for c in schema.split(",")]
+    policy = policy or Policy()
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        idle = 0
+        for b in batches:
+            ids = b["id"].tolist()
+            for i in range(0, len(ids), batch):
+                if idle >= empty:
+                    return
+                rows = policy.call(lambda part=ids[i : i + batch]: fetch(part))
+                idle = 0 if rows else idle + 1
                 yield pd.DataFrame([[r.get(n) for n in names] for r in rows], columns=names)
 
-    return keys.select(key).dropna().distinct().mapInPandas(ask, schema)
+    return spark.range(start, end + 1).mapInPandas(walk, schema)
+
+
+def truncated(items: DataFrame, since: str, at: str, max_pages: int) -> DataFrame:
+    """chain, is_truncated: chains of a newest-first feed that ended at the page cap before the window was covered.
+
+    items: chain, page_no and the time of each item. A chain is whole if it has fewer pages than the cap, or an item
+    older than ``since`` (text that cannot be read as a time is no proof of it).
+    """
+    when = F.col(at).try_cast("timestamp")
+    covered = F.max((when < F.lit(since).cast("timestamp")).cast("int"))
+    return items.groupBy("chain").agg(((F.max("page_no") + 1 >= max_pages) & (F.coalesce(covered, F.lit(0)) == 0)).alias("is_truncated"))
 
 
 def crawl(run: Run, table: str, targets: DataFrame, key: str, step: Callable[[DataFrame], DataFrame], batches: int = 16) -> DataFrame:
@@ -199,7 +241,7 @@ def crawl(run: Run, table: str, targets: DataFrame, key: str, step: Callable[[Da
     spark, path = targets.sparkSession, f"{run.path}/{table}"
     for b in range(batches):
         todo = targets.where(F.pmod(F.xxhash64(key), F.lit(batches)) == b)
-        if Path(path).exists():
+        if files.exists(path):
             todo = todo.join(spark.read.parquet(path).select(key), key, "left_anti")
         run.write(step(todo), table, mode="append")
     return spark.read.parquet(path).dropDuplicates([key])

@@ -44,6 +44,23 @@ def hex_wallets(users: DataFrame) -> DataFrame:
     return users.select("fid", F.explode(F.array_distinct(F.transform(lists, lambda a: F.lower(a)))).alias("address")).where(F.startswith("address", F.lit("0x")))
 
 
+def direct_replies(conversations: DataFrame, payload: str) -> DataFrame:
+    """parent_hash and the replies of the first level under each post, as posts; deeper ones and broken payloads give
+    no row."""
+    shape = f"struct<conversation: struct<cast: struct<hash: string, direct_replies: array<struct<{_fields(CAST)}>>>>>"
+    post = F.from_json(payload, shape)["conversation"]["cast"]
+    rows = conversations.select(post["hash"].alias("under"), F.inline(post["direct_replies"]))
+    return rows.where("hash is not null").withColumn("parent_hash", F.coalesce("parent_hash", "under")).drop("under")
+
+
+def channel_casts(posts: DataFrame, channel: str) -> DataFrame:
+    """Posts of a channel as rows of the contract; the length of a text is its number of characters."""
+    return posts.select(
+        F.lower("hash").alias("cast_hash"), F.col("author.fid").alias("author_fid"), F.lit(channel).alias("channel_id"), F.col("timestamp").try_cast("timestamp").alias("timestamp"),
+        F.lower(blank_to_null("parent_hash")).alias("parent_hash"), F.coalesce("reactions.likes_count", F.lit(0)).alias("likes_count"), F.coalesce("reactions.recasts_count", F.lit(0)).alias("recasts_count"), F.length("text").cast("bigint").alias("text_length"),
+    ).where("cast_hash is not null").dropDuplicates(["cast_hash"])
+
+
 def launch_rows(pages: DataFrame, payload: str, chain_ids: dict[str, int]) -> DataFrame:
     """Launches of well-formed pages as token rows; unknown chains are left out, empty texts become null."""
     items = pages.select(F.inline(F.from_json(payload, f"struct<launches: array<struct<{_fields(LAUNCH)}>>>")["launches"]))

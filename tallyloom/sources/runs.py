@@ -10,12 +10,13 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
-from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.clean import contract
+from tallyloom.operators.rank import keep_first
+from tallyloom.sources import files
 
 #: How far a window reads back behind the watermark, so that late rows are met again.
 OVERLAP = timedelta(days=1)
@@ -50,9 +51,9 @@ def run_id(taken: Iterable[str], now: datetime | None = None) -> str:
 
 
 def run_ids(root: str, data_type: str, sealed: bool = True) -> list[str]:
-    base = Path(root) / data_type
-    names = sorted(p.name for p in base.iterdir() if p.is_dir() and re.fullmatch(r"\d{8}T\d{6}Z", p.name)) if base.exists() else []
-    return [n for n in names if (base / n / "manifest.json").exists() == sealed]
+    base = f"{root}/{data_type}"
+    names = [n for n in files.folders(base) if re.fullmatch(r"\d{8}T\d{6}Z", n)]
+    return [n for n in names if files.exists(f"{base}/{n}/manifest.json") == sealed]
 
 
 @dataclass
@@ -78,11 +79,7 @@ class Run:
             "data_type": self.data_type, "run_ts": self.name, "generated_at": datetime.now(UTC).isoformat(), "generated_by": "tallyloom", "files": self.files, "row_total": sum(self.files.values()),
             "params": params or {}, "since": since and since.isoformat(), "new_watermark": new_watermark and new_watermark.isoformat(), "notes": list(notes),
         }
-        target = Path(self.path) / "manifest.json"
-        target.parent.mkdir(parents=True, exist_ok=True)
-        part = target.with_suffix(".part")
-        part.write_text(json.dumps(manifest, indent=1))
-        part.rename(target)
+        files.write_text(f"{self.path}/manifest.json", json.dumps(manifest, indent=1))
         return manifest
 
 
@@ -99,7 +96,7 @@ def read_table(spark: SparkSession, root: str, data_type: str, table: str, schem
     runs = run_ids(root, data_type)
     name = run or (runs[-1] if runs else None)
     if name in runs:
-        manifest = json.loads((Path(root) / data_type / name / "manifest.json").read_text())
+        manifest = json.loads(files.read_text(f"{root}/{data_type}/{name}/manifest.json"))
         if table in manifest["files"]:
             return contract(spark.read.parquet(f"{root}/{data_type}/{name}/{table}"), schema)
     if required:
@@ -116,10 +113,10 @@ class Watermarks:
     """One JSON document of newest event times; a time that is not newer, or none, changes nothing."""
 
     def __init__(self, path: str) -> None:
-        self.path = Path(path)
+        self.path = str(path)
 
     def state(self) -> dict:
-        return json.loads(self.path.read_text()) if self.path.exists() else {}
+        return json.loads(files.read_text(self.path)) if files.exists(self.path) else {}
 
     def get(self, name: str) -> datetime | None:
         text = self.state().get(name)
@@ -129,8 +126,7 @@ class Watermarks:
         now = self.get(name)
         if at is None or (now is not None and at <= now):
             return False
-        self.path.parent.mkdir(parents=True, exist_ok=True)
-        self.path.write_text(json.dumps(self.state() | {name: at.isoformat()}))
+        files.write_text(self.path, json.dumps(self.state() | {name: at.isoformat()}))
         return True
 
 
@@ -143,20 +139,38 @@ def advance_all(marks: Watermarks, name: str, legs: dict[str, datetime | None],
 
 
 def read_seeds(spark: SparkSession, paths: Sequence[str], required: str, defaults: dict[str, object]) -> DataFrame:
-    """Operator seeds from the first path that exists: lower-case headers, whole-number keys, first row per key."""
+    """Operator seeds from the first path that exists: lower-case headers, whole-number keys, and of several rows with
+    one key the first in the file. Seeds are files that people keep by hand, so they are numbered on the way in."""
     for p in paths:
-        if Path(p).exists():
+        if files.exists(p):
             raw = spark.read.option("header", True).csv(p)
             df = raw.toDF(*[c.strip().lower() for c in raw.columns])
             if required not in df.columns:
                 raise ValueError(f"{p}: missing column {required}")
-            df = df.withColumn(required, F.btrim(required).try_cast("bigint")).where(F.col(required).isNotNull())
+            df = df.withColumn("row_no", F.monotonically_increasing_id()).withColumn(required, F.btrim(required).try_cast("bigint")).where(F.col(required).isNotNull())
             for c, v in defaults.items():
                 df = df.withColumn(c, F.coalesce(F.col(c).try_cast("double"), F.lit(v)) if c in df.columns else F.lit(v))
-            return df.dropDuplicates([required])
+            return keep_first(df, [required], [F.asc("row_no")]).drop("row_no")
     raise FileNotFoundError(", ".join(paths))
 
 
+def rewrite_clean(spark: SparkSession, run: Run, table: str, keys: Sequence[str], schema: dict[str, str]) -> int:
+    """Rewrite a table that was appended to over several sittings: its contract, one row per key; the number of rows.
+
+    The new files are whole before they take the place of the old ones.
+    """
+    path, part = f"{run.path}/{table}", f"{run.path}/{table}.part"
+    rows = contract(spark.read.parquet(path), schema)
+    rest = [c for c in rows.columns if c not in keys]
+    one = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.max(F.struct(*rest)).alias("kept")).select(*keys, "kept.*").select(*rows.columns)
+    seen = Observation(f"clean_{table}")
+    one.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(part)
+    files.remove(path)
+    files.move(part, path)
+    run.files[table] = seen.get["n"]
+    return run.files[table]
+
+
 def read_torn_csv(spark: SparkSession, path: str, schema: str, key: str, pattern: str, needed: str) -> DataFrame:
     """A CSV that may end in torn rows: rows without a proper key or the needed column are dropped."""
     df = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema).csv(path)

@@ -49,7 +49,9 @@ def test_look_up_and_resumed_crawl(spark, tmp_path):
         return [{"k": k, "v": str(k * 2)} for k in keys if k != 3]
 
     keys = spark.createDataFrame([(1,), (1,), (2,), (3,), (4,), (None,)], "k bigint")
-    assert sorted(map(tuple, paged.look_up(keys, "k", fetch, "k bigint, v string", 1).collect())) == [(1, "2"), (2, "4")]
+    found, failed = paged.look_up(keys, "k", fetch, "k bigint, v string", 1, paged.Policy(attempts=2, base=0.0))
+    assert sorted(map(tuple, found.collect())) == [(1, "2"), (2, "4")]
+    assert [(r.k, r.reason) for r in failed.collect()] == [("4", "status 500")]
     run = runs.open_run(str(tmp_path), "crawl")
     targets = spark.range(10).withColumnRenamed("id", "k")
     asked = []
@@ -71,3 +73,13 @@ def test_cache(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.glob("plan-*/part-*")) == before
     cache.cached(df, str(tmp_path), 0.0)
     assert sorted(p.name for p in tmp_path.glob("plan-*/part-*")) != before
+
+
+def test_account_ranges_and_truncation(spark):
+    def fetch(ids):
+        return [{"fid": i} for i in ids if i <= 30]
+
+    got = paged.account_ranges(spark, 1, 10_000, fetch, "fid bigint", 10, 3)
+    assert sorted(r.fid for r in got.collect()) == list(range(1, 31))
+    items = spark.createDataFrame([("a", 0, "2025-01-09"), ("a", 1, "2025-01-08"), ("b", 0, "2025-01-09"), ("b", 1, "2024-12-01"), ("c", 0, "2025-01-09"), ("d", 1, "soon")], "chain string, page_no int, at string")
+    assert {r.chain: r.is_truncated for r in paged.truncated(items, "2025-01-01", "at", 2).collect()} == {"a": True, "b": False, "c": False, "d": True}

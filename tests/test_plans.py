@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators.upsert import Policy
-from tallyloom.plans import graph, products
+from tallyloom.plans import graph, loads, products
 from tallyloom.plans.orchestrate import Product, order, run_all
 from tallyloom.sources.runs import Watermarks, run_ids
 
@@ -68,3 +68,63 @@ def test_exchange_activity_carries_fresh_rows(spark):
     prior = spark.createDataFrame([("b", 99, 7.0, None, 0, T0)], "address string, fid bigint, cum_volume_usd double, first_activity_at timestamp, ledger_event_count int, checked_at timestamp")
     out = products.exchange_activity(targets, answers, done, prior, F.lit("2025-01-01").cast("timestamp")).collect()
     assert sorted((r.address, r.fid, r.cum_volume_usd, r.has_hl_activity) for r in out) == [("a", 1, 5.0, True), ("b", 2, 7.0, True)]
+
+
+def graph_of(data_type, sources, before=None, declared=None):
+    return {t: rows for t, (rows, _) in graph.load(loads.LOADS[data_type](), sources, before or {}, {"as_of": "r"}, declared).items()}
+
+
+TOKENS = "token_address string, chain_id bigint, deployer_address string, fee_recipient_address string, fid bigint, fee_recipient_fid bigint, platform string, name string, symbol string, deployed_at timestamp, pool_address string, launch_type string, tx_hash string"
+
+
+def test_roles_are_guarded(spark):
+    """One edge per pair: a fee recipient that is the deployer, spelled otherwise, adds none; nor does its own account."""
+    rows = [
+        ("0xT1", 1, "0xAA", "0xaa", 5, 5), ("0xT2", 1, "0xaa", "0xBB", 5, 6), ("0xT3", 1, None, "0xcc", None, 7), ("0xT4", 1, "0xdd", None, 8, None), ("0xT5", 1, None, None, None, None),
+    ]
+    tokens = spark.createDataFrame([(*r, "p", "n", "s", T0, None, "l", "x") for r in rows], TOKENS)
+    g = graph_of("bankr_tokens", {"tokens": tokens})
+    assert sorted((r.src_address, r.dst_address, r.role) for r in g["edges_DEPLOYED_TOKEN"].collect()) == [("0xaa", "0xt1", "deployer"), ("0xaa", "0xt2", "deployer"), ("0xbb", "0xt2", "fee_recipient"), ("0xcc", "0xt3", "fee_recipient"), ("0xdd", "0xt4", "deployer")]
+    assert sorted((r.src_fid, r.dst_address, r.role) for r in g["edges_CREATED"].collect()) == [(5, "0xt1", "deployer"), (5, "0xt2", "deployer"), (6, "0xt2", "fee_recipient"), (7, "0xt3", "fee_recipient"), (8, "0xt4", "deployer")]
+    assert g["nodes_token"].count() == 5 and g["nodes_wallet"].count() == 4
+
+
+def test_checked_wallets_get_a_negative_stamp_and_no_edge(spark):
+    rows = [("0xA", 1, True, 5.0, None, 2, T0), ("0xB", 2, False, 0.0, None, 0, T0), ("0xC", None, None, 0.0, None, 0, T0)]
+    hl = spark.createDataFrame(rows, "address string, fid bigint, has_hl_activity boolean, cum_volume_usd double, first_activity_at timestamp, ledger_event_count bigint, checked_at timestamp")
+    g = graph_of("hyperliquid_activity", {"hl_activity": hl})
+    assert {r.address: r.is_active for r in g["nodes_wallet"].collect()} == {"0xa": True, "0xb": False, "0xc": False}
+    assert [r.src_address for r in g["edges_USED"].collect()] == ["0xa"] and [r.src_fid for r in g["edges_ACCOUNT"].collect()] == [1]
+    again = graph_of("hyperliquid_activity", {"hl_activity": hl}, g)
+    assert all(sorted(map(str, again[t].collect())) == sorted(map(str, g[t].collect())) for t in g)
+
+
+def test_owners_keep_their_facts(spark):
+    own = spark.createDataFrame([(1, "0xA", "eth", True, "verified")], "fid bigint, address string, protocol string, is_primary boolean, source string")
+    accounts = spark.createDataFrame([(1, "u", None, 0.5, 1, 1, None, None)], "fid bigint, username string, display_name string, neynar_score double, follower_count bigint, following_count bigint, custody_address string, registered_at timestamp")
+    g = graph_of("linked_wallets", {"wallets": own, "accounts": accounts})
+    builders = spark.createDataFrame([(1, "0xa"), (2, "0xA")], "fid bigint, address string")
+    activity = spark.createDataFrame([(1, "0xA", 8453, 3, T0, T0)], "fid bigint, address string, chain_id bigint, tx_count bigint, first_tx_at timestamp, last_tx_at timestamp")
+    g = g | graph_of("miniapp_builders", {"builder_wallets": builders, "builder_activity": activity}, g)
+    assert sorted((r.src_fid, r.is_primary, r.source) for r in g["edges_ACCOUNT"].collect()) == [(1, True, "verified"), (2, False, "builder_wallets")]
+    assert {r.fid: (r.miniapp_builder, r.username) for r in g["nodes_account"].collect()} == {1: (True, "u"), 2: (True, None)}
+
+
+def test_manifest_rules(spark):
+    with pytest.raises(FileNotFoundError, match="deployer_activity"):
+        graph_of("contract_deployers", {"deployments": spark.createDataFrame([], "fid bigint")})
+    with pytest.raises(FileNotFoundError, match="token_volume"):  # optional, but the manifest names it
+        graph_of("bankr_tokens", {"tokens": spark.createDataFrame([], TOKENS)}, None, ["tokens", "token_volume"])
+    assert "nodes_token" in graph_of("bankr_tokens", {"tokens": spark.createDataFrame([], TOKENS)}, None, ["tokens"])
+
+
+def test_last_row_of_a_key_counts(spark):
+    rows = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "c", 3)], "fid bigint, v string, row_no bigint")
+    assert [tuple(r) for r in graph.last_rows(rows, ["fid"]).collect()] == [(1, "b")]
+
+
+def test_every_label_and_relationship_has_a_step():
+    from tallyloom.plans.graph import NODES
+
+    targets = {s.target for make in loads.LOADS.values() for s in make()}
+    assert targets == {f"nodes_{n}" for n in NODES} | {f"edges_{e}" for e in loads.EDGES}
