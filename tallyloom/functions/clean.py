@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import address, blank_to_null, col, number, strip, whole
@@ -69,6 +69,19 @@ def bad_cells(raw: DataFrame, clean: DataFrame, columns: list[str]) -> DataFrame
     return counted.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_bad")) for c in columns])))
 
 
+def complete(df: DataFrame, columns: list[str], seen: Observation) -> DataFrame:
+    """Rows with a value in every column; ``seen`` counts the others per column (n_<column>) while the rows are read."""
+    counts = [F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in columns]
+    return df.observe(seen, *counts).dropna(subset=columns)
+
+
+def head(df: DataFrame, order: list[Column], limit: int) -> tuple[DataFrame, str | None]:
+    """The first rows in an order, and a note of how many were left out, if any."""
+    n = df.count()
+    note = f"{n - limit} of {n} rows left out by the limit of {limit}" if n > limit else None
+    return df.orderBy(*order).limit(limit), note
+
+
 def contract(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """The columns of a contract in its order; absent ones are typed nulls."""
     return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in schema.items()])

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tallyloom.operators.rank import keep_first
 
 
-
 def rule_order(rule: str) -> list[Column]:
     return {
         "verified": [F.when(F.col("source") == "verified", 0).otherwise(1), F.when(F.col("is_primary"), 0).otherwise(1), F.col("fid")],
@@ -21,7 +20,10 @@ def rule_order(rule: str) -> list[Column]:
 
 
 def one_account(wallets: DataFrame, rule: str = "verified") -> DataFrame:
-    """address, fid: one account per address. Null addresses or accounts own nothing."""
+    """address, fid: one account per address. Null addresses or accounts own nothing; by the rule ``reduced`` the lowest
+    account counts of what the rule ``verified`` leaves."""
+    if rule == "reduced":
+        return lowest_account(one_account(wallets, "verified"))
     return keep_first(wallets.dropna(subset=["address", "fid"]), ["address"], rule_order(rule)).select("address", "fid")
 
 

@@ -103,3 +103,33 @@ def product_cohort(spark, d):
     part = lambda n, c, name, p: table(spark, d, n).select(address(c).alias("address"), "fid", F.lit(name).alias("source"), F.lit(p).alias("priority"))
     out = products.arb_cohort([part("trades", "address", "traders", 1), part("buys", "buyer_address", "buyers", 2)], table(spark, d, "accounts"), _wallets(spark, d), 1, 0.25)
     return out.select("address", "priority", "fid", "score")
+
+
+@query(f"""WITH {_MAP}, x AS (SELECT DISTINCT {A('deployer_address')} AS address FROM deployments WHERE {A('deployer_address')} IN (SELECT address FROM m))
+    SELECT m.fid, {A('t.address')} AS address, chain_id, count(*) AS tx_count, min(block_time) AS first_tx_at, max(block_time) AS last_tx_at FROM trades t JOIN x ON {A('t.address')} = x.address JOIN m ON x.address = m.address GROUP BY 1, 2, 3""", ("first_tx_at", "last_tx_at"))
+def product_deployer_activity(spark, d):
+    rows = table(spark, d, "deployments").withColumns({"at": F.col("ingested_at"), "row_no": F.col("deployment_id")})
+    activity = table(spark, d, "trades").select(address("address").alias("address"), "chain_id", F.col("block_time").alias("at"))
+    return products.contract_deployers(rows, activity, _wallets(spark, d))["deployer_activity"]
+
+
+@query(f"SELECT DISTINCT {A('token_address')} AS token_address, chain_id, author_fid AS author, cast_hash AS \"cast\" FROM token_casts WHERE author_fid IS NOT NULL")
+def product_token_casts(spark, d):
+    return _evangelists(spark, d)["token_casts"]
+
+
+@query(f"""WITH c AS (SELECT {A('token_address')} AS token_address, chain_id, author_fid AS author, cast_hash, timestamp AS seen FROM token_casts WHERE author_fid IS NOT NULL),
+    p AS (SELECT DISTINCT c.token_address, c.chain_id, b.buy_id AS purchase, b.fid AS buyer, coalesce(b.amount_usd, 0) AS usd, c.author FROM buys b JOIN c ON {A('b.token_address')} = c.token_address AND b.chain_id = c.chain_id AND b.fid = c.author AND seen < block_time AND block_time <= seen + INTERVAL 120 HOUR),
+    s AS (SELECT *, count(*) OVER (PARTITION BY token_address, chain_id, buyer, purchase) AS n FROM p),
+    x AS (SELECT token_address, chain_id, author, count(DISTINCT buyer) AS unique_buyers, count(DISTINCT purchase) AS total_purchases, CAST(sum(CAST(usd AS DECIMAL(28,6))) AS DOUBLE) AS total_usd, CAST(sum(CAST(usd / n AS DECIMAL(28,6))) AS DOUBLE) AS attributed_usd FROM s GROUP BY 1, 2, 3),
+    y AS (SELECT token_address, chain_id, author, count(DISTINCT cast_hash) AS cast_count FROM c GROUP BY 1, 2, 3)
+    SELECT token_address, chain_id, author, coalesce(cast_count, 0) AS cast_count, coalesce(unique_buyers, 0) AS unique_buyers, coalesce(total_purchases, 0) AS total_purchases, coalesce(total_usd, 0) AS total_usd, coalesce(attributed_usd, 0) AS attributed_usd FROM y FULL JOIN x USING (token_address, chain_id, author)""")
+def product_evangelist_summary(spark, d):
+    return _evangelists(spark, d)["evangelist_summary"]
+
+
+@query(f"WITH {_MAP} SELECT m.address, m.fid FROM m WHERE m.fid IN (SELECT author_fid FROM token_casts)")
+def product_author_wallets(spark, d):
+    """All wallets of the accounts that wrote about a token."""
+    authors = table(spark, d, "token_casts").select(F.col("author_fid").alias("fid"))
+    return _wallets(spark, d).join(authors, "fid", "left_semi").select("address", "fid")

@@ -157,13 +157,13 @@ def deployer_rollup(spark, d):
 
 
 @query("""WITH cohort AS (SELECT s_suppkey AS address FROM supplier WHERE s_acctbal > 0),
-    s AS (SELECT l_orderkey AS tx, min(l_suppkey) AS sender FROM lineitem WHERE l_suppkey IN (SELECT address FROM cohort) AND l_linenumber = 1 GROUP BY 1)
+    s AS (SELECT l_orderkey AS tx, min(l_suppkey) AS sender FROM lineitem WHERE l_suppkey IN (SELECT address FROM cohort) GROUP BY 1)
     SELECT CASE WHEN o_custkey IN (SELECT address FROM cohort) THEN o_custkey ELSE sender END AS deployer, o_orderkey AS contract, o_orderkey AS tx, o_orderdate AS "at",
       CASE WHEN sender IS NULL OR sender = o_custkey THEN 'direct' ELSE 'via_factory' END AS deploy_method
     FROM orders LEFT JOIN s ON o_orderkey = tx WHERE sender IS NOT NULL OR o_custkey IN (SELECT address FROM cohort)""")
 def deploy_method(spark, d):
     creations = table(spark, d, "orders").select(F.col("o_orderkey").alias("tx"), F.col("o_orderkey").alias("contract"), F.col("o_custkey").alias("creator"), F.col("o_orderdate").alias("at"))
-    senders = table(spark, d, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("tx"), F.col("l_suppkey").alias("sender"))
+    senders = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("tx"), F.col("l_suppkey").alias("sender"))
     return registry.deployments(creations, senders, table(spark, d, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("address")))
 
 
@@ -357,6 +357,18 @@ def wallet_conflict_score_first(spark, d):
     return resolve.one_account(wallets(spark, d), "score")
 
 
+@query(f"WITH {WALLETS} SELECT address, max(fid) AS fid FROM wallets GROUP BY 1")
+def wallet_conflict_last_row(spark, d):
+    """The last row wins, in the order of the account."""
+    return resolve.one_account(wallets(spark, d).withColumn("row_no", F.col("fid")), "last")
+
+
+@query(_conflict("source <> 'verified', NOT is_primary, fid"))
+def wallet_conflict_reduced(spark, d):
+    """The lowest account over a map that the first rule has reduced."""
+    return resolve.one_account(wallets(spark, d), "reduced")
+
+
 @query(f"WITH {OWNERS} SELECT address, fid FROM owners")
 def wallet_min_fid(spark, d):
     return resolve.lowest_account(custody(spark, d))

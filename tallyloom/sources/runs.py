@@ -14,8 +14,9 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.clean import contract
+from tallyloom.functions.clean import bad_cells, contract, typed
 from tallyloom.operators.rank import keep_first
+from tallyloom.plans.contract import schema
 from tallyloom.sources import files
 
 #: How far a window reads back behind the watermark, so that late rows are met again.
@@ -91,17 +92,36 @@ def open_run(root: str, data_type: str, resume: bool = False) -> Run:
     return Run(root, data_type, run_id([*pending, *run_ids(root, data_type)]))
 
 
-def read_table(spark: SparkSession, root: str, data_type: str, table: str, schema: dict[str, str], run: str | None = None, required: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, root: str, data_type: str, table: str, columns: dict[str, str], run: str | None = None, required: bool = True) -> DataFrame:
     """A table of a sealed run (the latest by default) under its contract; absent and not required gives no rows."""
     runs = run_ids(root, data_type)
     name = run or (runs[-1] if runs else None)
     if name in runs:
         manifest = json.loads(files.read_text(f"{root}/{data_type}/{name}/manifest.json"))
         if table in manifest["files"]:
-            return contract(spark.read.parquet(f"{root}/{data_type}/{name}/{table}"), schema)
+            return contract(spark.read.parquet(f"{root}/{data_type}/{name}/{table}"), columns)
     if required:
         raise FileNotFoundError(f"{data_type}/{table}: no sealed run has it")
-    return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in schema.items()))
+    return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in columns.items()))
+
+
+def read_rows(spark: SparkSession, root: str, data_type: str, table: str, run: str | None = None, required: Sequence[str] = (), overrides: dict[str, str] | None = None, notes: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """A table of text cells of a sealed run, typed by its column names, and the number of bad cells per column.
+
+    A missing required column raises and is named. Where no sealed run has the table, and ``notes`` is given, there are
+    no rows under the contract's schema and a note says so; without ``notes`` that raises.
+    """
+    names = run_ids(root, data_type)
+    name = run or (names[-1] if names else None)
+    path = f"{root}/{data_type}/{name}/{table}"
+    if name not in names or not files.exists(path):
+        if notes is None:
+            raise FileNotFoundError(f"{data_type}/{table}: no sealed run has it")
+        notes.append(f"{data_type}/{table} is missing and counts as empty")
+        none = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in schema(data_type, table)))
+        return typed(none), bad_cells(none, none, none.columns)
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    return typed(raw, tuple(required), overrides), bad_cells(raw, raw, raw.columns)
 
 
 def newest(df: DataFrame, *columns: str) -> DataFrame:

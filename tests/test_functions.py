@@ -97,3 +97,13 @@ def test_every_column_of_the_contract_has_its_type(spark):
         typed = clean.typed(raw, tuple(of))
         assert tuple(typed.first()) == tuple(sample[k][1] for k in of.values()), (d, t)
         assert dict(typed.dtypes) == schema(d, t), (d, t)
+
+
+def test_rows_left_out_are_counted(spark):
+    from pyspark.sql import Observation
+
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (None, None)], "k int, s string")
+    seen = Observation("left out")
+    assert clean.complete(df, ["k", "s"], seen).collect() == [(1, "a")] and seen.get == {"n_k": 2, "n_s": 1}
+    rows, note = clean.head(df, [F.asc_nulls_last("k")], 2)
+    assert rows.count() == 2 and note == "1 of 3 rows left out by the limit of 2" and clean.head(df, [F.asc("k")], 3)[1] is None

@@ -131,3 +131,21 @@ def test_replies_and_channel_posts(spark):
     rows = payloads.direct_replies(df, "j")
     assert [(r.hash, r.parent_hash, r.author.fid) for r in rows.collect()] == [("0xR", "0xP", 4)]
     assert [(r.cast_hash, r.channel_id, r.text_length, r.likes_count) for r in payloads.channel_casts(rows.unionByName(rows), "c").collect()] == [("0xr", "c", 2, 0)]
+
+
+def test_text_tables_of_a_run_are_typed_and_counted(spark, tmp_path):
+    run = runs.open_run(str(tmp_path), "token_buyers")
+    cells = spark.createDataFrame([("7.0", "0xAB", "12.5", "soon"), ("x", "null", "", "2025-01-02T00:00:00Z")], "fid string, buyer_address string, amount_usd string, block_time string")
+    run.write(cells, "buys", fmt="csv")
+    cells.write.mode("overwrite").option("header", True).csv(f"{run.path}/buys")
+    run.seal()
+    rows, bad = runs.read_rows(spark, str(tmp_path), "token_buyers", "buys", required=("fid",))
+    assert sorted(((r.fid, r.buyer_address, r.amount_usd) for r in rows.collect()), key=str) == [(7, "0xab", 12.5), (None, "null", None)]
+    assert {r.column_name: r.n_bad for r in bad.collect()} == {"fid": 1, "buyer_address": 0, "amount_usd": 0, "block_time": 1}
+    with pytest.raises(ValueError, match="tx_hash"):
+        runs.read_rows(spark, str(tmp_path), "token_buyers", "buys", required=("tx_hash",))
+    notes = []
+    none, _ = runs.read_rows(spark, str(tmp_path), "arb_cohort", "cohort", notes=notes)
+    assert none.count() == 0 and dict(none.dtypes)["priority"] == "bigint" and notes == ["arb_cohort/cohort is missing and counts as empty"]
+    with pytest.raises(FileNotFoundError):
+        runs.read_rows(spark, str(tmp_path), "arb_cohort", "cohort")
