@@ -73,7 +73,7 @@ def piece_hashes(w: list[str], size: int) -> np.ndarray:
     n = len(w) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    ids = np.fromiter((_HASHES[x] for x in w), np.uint64, len(w))
+    ids = np.fromiter(map(_HASHES.__getitem__, w), np.uint64, len(w))
     h = np.zeros(n, np.uint64)
     for j in range(size):
         h = h * np.uint64(0x9E3779B97F4A7C15) + ids[j : j + n]

@@ -20,7 +20,7 @@ _TEMPLATE = re.compile(r"\{\{\s*[#:\w][^{}|]*(\||\}\})")
 _NAMED = re.compile(r"\|\s*\w[\w -]*\s*=(?!=)")
 _MAGIC = re.compile(r"__[A-Z]+__")
 _INVISIBLE = re.compile("[­​‌‍⁠﻿]")
-_WORD = re.compile(r"[^\W_]+")
+_WORD = re.compile(r"\w+")
 
 
 def visible(text: str) -> Iterator[str]:
@@ -61,4 +61,4 @@ def words(text: str) -> list[str]:
     """Runs of letters and digits in one case and one Unicode form."""
     if not text.isascii():
         text = _INVISIBLE.sub("", unicodedata.normalize("NFC", text))
-    return _WORD.findall(text.casefold())
+    return _WORD.findall(text.casefold().replace("_", " "))
