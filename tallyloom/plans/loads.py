@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.fold import money
 from tallyloom.operators.upsert import Policy
-from tallyloom.plans.graph import NODES, GraphStep
+from tallyloom.plans.graph import NODES, GraphStep, load
+from tallyloom.sources import files
+from tallyloom.sources.runs import run_ids
 
 #: The label that each end of an edge has, and what keys an edge beside its ends.
 EDGES = {
@@ -189,3 +193,37 @@ LOADS: dict[str, Callable[[], list[GraphStep]]] = {
     "brand_engagement": brand_engagement,
     "hyperliquid_activity": exchange_activity,
 }
+
+
+def current(graph_root: str) -> dict[str, str]:
+    """Where the newest state of each node and edge table lies; nothing before the first load."""
+    path = f"{graph_root}/current.json"
+    return json.loads(files.read_text(path)) if files.exists(path) else {}
+
+
+def load_run(spark: SparkSession, root: str, data_type: str, graph_root: str, run: str | None = None, ingested_by: str = "tallyloom", dry: bool = False) -> list[dict]:
+    """Load a sealed run (the latest by default) of a data type into the graph: target, created and updated rows per write.
+
+    The next state of every table is written whole beside the old one; one small file then points to all new states at
+    once, so readers see the graph before the load or after it, and a load that breaks off or is repeated changes nothing.
+    """
+    sealed = run_ids(root, data_type)
+    name = run or (sealed[-1] if sealed else None)
+    if name not in sealed:
+        raise FileNotFoundError(f"{data_type}: no sealed run {name or ''}".rstrip())
+    base = f"{root}/{data_type}/{name}"
+    manifest = json.loads(files.read_text(f"{base}/manifest.json"))
+    sources = {t: spark.read.parquet(f"{base}/{t}") for t in manifest["files"] if files.exists(f"{base}/{t}")}
+    places = current(graph_root)
+    graph = {target: spark.read.parquet(path) for target, path in places.items()}
+    stamp = {"as_of": manifest["run_ts"], "ingested_by": ingested_by}
+    report = []
+    for target, (rows, counters) in load(LOADS[data_type.removesuffix("_activity") if data_type not in LOADS else data_type](), sources, graph, stamp, list(manifest["files"])).items():
+        n_created, n_updated = counters.first()
+        report.append({"target": target, "created": n_created, "updated": n_updated})
+        if not dry:
+            places[target] = f"{graph_root}/{data_type}-{name}-{uuid.uuid4().hex[:8]}/{target}"
+            rows.write.parquet(places[target])
+    if not dry:
+        files.write_text(f"{graph_root}/current.json", json.dumps(places, indent=1))
+    return report

@@ -224,6 +224,12 @@ SQL = {
         FROM (SELECT *, try_cast({sql_strip('leaf')} AS DECIMAL(38,6)) AS whole FROM leaves)) WHERE value IS NOT NULL""",
     "p5_users": f"""{_P5} SELECT record_id, up AS parent_no, pos AS item_no, CASE WHEN whole = floor(whole) THEN CAST(try_cast(whole AS BIGINT) AS VARCHAR) END AS fid, username
         FROM (SELECT *, try_cast({sql_strip('leaf')} AS DECIMAL(38,6)) AS whole, nullif({sql_strip("CASE WHEN json_type(v, '$.username') NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN v->>'$.username' END")}, '') AS username FROM leaves WHERE member = 'fid')""",
+    "p5_launches": f"""{_P5},
+        l AS (SELECT record_id, pos AS launch_no, nullif(lower({sql_strip("CASE WHEN json_type(v, '$.tokenAddress') NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN v->>'$.tokenAddress' END")}), '') AS token_address,
+            nullif({sql_strip("CASE WHEN json_type(v, '$.tokenName') NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN v->>'$.tokenName' END")}, '') AS token_name
+          FROM o WHERE member = 'walletAddress' AND lvl = 1 AND json_type(v) = 'OBJECT'),
+        d AS (SELECT record_id, up AS launch_no, pos AS deployer_no, nullif(lower({sql_strip('leaf')}), '') AS wallet FROM leaves WHERE member = 'walletAddress')
+        SELECT record_id, launch_no, token_address, token_name, deployer_no, wallet FROM l LEFT JOIN d USING (record_id, launch_no)""",
     "p7_found": f"WITH {P7} SELECT source_table, record_id, utc_us FROM zoned WHERE utc_us IS NOT NULL",
     "p7_feeds": f"WITH {P7} SELECT feed, zone, count(*) AS n_rows, count(*) FILTER (coalesce(lag NOT BETWEEN 0 AND 45 * 60000000::BIGINT, true)) AS n_wrong FROM lags GROUP BY ALL",
     "p6_found": _P6 + "SELECT engager_fid, engagement, count(*) AS n_events FROM e GROUP BY ALL",

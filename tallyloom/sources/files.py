@@ -27,6 +27,12 @@ def folders(path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
+def names(path: str) -> list[str]:
+    """Names of everything in a folder, sorted; none where it does not exist."""
+    fs, p = _at(path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def modified(path: str) -> float | None:
     """Seconds since 1970 of the last change, None where there is nothing."""
     fs, p = _at(path)

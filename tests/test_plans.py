@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.upsert import Policy
 from tallyloom.plans import graph, loads, products
 from tallyloom.plans.orchestrate import Product, order, run_all
-from tallyloom.sources.runs import Watermarks, run_ids
+from tallyloom.sources.runs import Watermarks, open_run, run_ids
 
 T0 = datetime(2025, 1, 10, tzinfo=UTC)
 
@@ -128,3 +128,20 @@ def test_every_label_and_relationship_has_a_step():
 
     targets = {s.target for make in loads.LOADS.values() for s in make()}
     assert targets == {f"nodes_{n}" for n in NODES} | {f"edges_{e}" for e in loads.EDGES}
+
+
+def test_a_sealed_run_is_loaded_whole_and_again(spark, tmp_path):
+    run = open_run(f"{tmp_path}/runs", "token_buyers")
+    buys = [(5, "0xA", "0xT", 1, "p", 2.0, 1.0, T0, "h1"), (None, "0xB", "0xT", 1, "p", 3.0, 1.0, T0, "h2")]
+    run.write(spark.createDataFrame(buys, "fid bigint, buyer_address string, token_address string, chain_id bigint, platform string, amount_usd double, token_amount double, block_time timestamp, tx_hash string"), "buys")
+    root, graph_root = f"{tmp_path}/runs", f"{tmp_path}/graph"
+    with pytest.raises(FileNotFoundError, match="no sealed run"):
+        loads.load_run(spark, root, "token_buyers", graph_root)
+    run.seal()
+    assert {r["target"]: r["created"] for r in loads.load_run(spark, root, "token_buyers", graph_root, dry=True)}["edges_BOUGHT"] == 2 and loads.current(graph_root) == {}
+    for created in (2, 0):
+        report = {r["target"]: (r["created"], r["updated"]) for r in loads.load_run(spark, root, "token_buyers", graph_root)}
+        assert report["edges_BOUGHT"] == (created, 2 - created)
+    edges = spark.read.parquet(loads.current(graph_root)["edges_BOUGHT"]).collect()
+    assert sorted((r.src_address, r.dst_address, r.tx_hash, r.usd, r.as_of) for r in edges) == [("0xa", "0xt", "h1", 2.0, run.name), ("0xb", "0xt", "h2", 3.0, run.name)]
+    assert spark.read.parquet(loads.current(graph_root)["edges_ACCOUNT"]).count() == 1
