@@ -38,12 +38,12 @@ DE_PREPOSITIONS = "am|an der|an den|an dem|auf der|auf dem|auf den|im|in der|in
 FR_STREETS = "rue|allée|allee|avenue|av\\.|place|quai|chemin|impasse|boulevard|bd|bld|cours|route|passage|sentier|square|ruelle|faubourg|venelle"
 ES_STREETS = "calle|c/|avenida|avda\\.?|av\\.|plaza|pza\\.?|paseo|camino|carretera|ctra\\.?|ronda|travesía|callejón|pasaje|cuesta|glorieta|rambla|vía"
 TITLES = "mrs?|ms|miss|dr|prof|sir|lady|herrn?|frau|mme|mlle|monsieur|madame|sra?|srta|señora?|señorita|don|doña"
-NOT_NAMES = """the|a|an|as|in|on|at|by|to|of|for|from|with|and|or|but|is|was|are|were|has|had|it|its|he|she|they|we|you|my|our|his|her|their|this|that|these|those|until|till|between|before|after|since|during|when|where|who|see|also|here|there|now|then|not|no|all|every
-|der|die|das|den|dem|des|ein|eine|einen|einem|einer|und|oder|von|vom|zu|zum|zur|mit|bei|beim|im|am|an|auf|aus|nach|vor|bis|seit|für|über|unter|ist|war|wird|wurde|hat|er|sie|es|wir|ihr|wer|wo|hier|heute|jahr|zwischen
-|le|la|les|un|une|des|du|de|et|ou|où|en|au|aux|dans|sur|sous|pour|par|avec|chez|est|était|il|elle|on|ce|cette|ces|son|sa|ses|depuis|entre|avant|après
-|el|los|las|unos|y|e|o|del|al|en|con|por|para|sin|desde|hasta|es|era|fue|lo|su|sus|este|esta|hoy
+NOT_NAMES = """the|as|in|on|at|by|and|or|but|is|was|are|were|has|had|it|its|he|she|they|we|you|my|our|his|her|their|this|that|these|until|between|before|after|since|during|when|where|see|also|here|there|now
+|der|die|das|den|dem|des|ein|eine|einen|einem|einer|und|oder|zu|zum|zur|beim|im|am|auf|aus|nach|vor|bis|seit|über|unter|ist|war|wird|wurde|hat|er|sie|es|wir|ihr|wer|wo|hier|heute|jahr|zwischen
+|le|la|les|un|une|du|et|ou|où|en|au|aux|dans|sur|sous|est|était|il|elle|ce|cette|ces|son|ses|depuis|entre|avant|après
+|el|los|las|unos|y|e|o|del|al|desde|hasta|era|fue|su|sus|este|esta|hoy
 |january|february|march|april|june|july|august|september|october|november|december|januar|februar|märz|mai|juni|juli|oktober|dezember|enero|febrero|marzo|abril|junio|julio|agosto|octubre|noviembre|diciembre|janvier|février|mars|avril|juin|juillet|août|octobre|novembre|décembre
-|tel|tél|fax|phone|mail|email|e-mail|isbn|file|datei|category|street|road|visitors|questions|according|photo|photograph|foto|scan|text|letter|plan|route|grid|order|false|wrong|unsigned|auskunft|führungen|visites|visitas"""
+|isbn|file|datei|category|street|road|visitors|questions|according|photo|photograph|foto|scan|text|letter|plan|route|grid|order|wrong|unsigned|auskunft|führungen|visites|visitas"""
 PLACE_STARTS = "upper|lower|port|bad|saint|san|santa|new|old|north|south|east|west|mount|fort|lake|river|great|little|st"
 THINGS = """bridge|mill|lock|bay|works|foundry|reservoir|station|railway|canal|tower|church|chapel|castle|park|house|hall|museum|library|school|harbour|harbor|pier|quay|dock|dockyard|market|brewery|tannery|quarry|valley|garden|orchard
 |street|road|lane|avenue|court|terrace|close|walk|hill|row|crescent|drive|square|company|ltd|inc|gmbh|sons|society|club|university|island|river|lake|inn|hotel|farm|well|point|ferry|lighthouse|windmill|brücke|mühle|turm|kirche|burg|hof|schule|straße
@@ -169,7 +169,7 @@ _STREET_PARTS = (
     tuple(w.replace("\\", "").replace("?", "") if "?" not in w else w.split("\\")[0] for w in ES_STREETS.split("|")),
 )
 
-_STOP = rf"(?!(?i:{_join(NOT_NAMES)}|{_join(ROLES)}|{_join(CLOSINGS)}|{TITLES})(?![\w'’]))"
+_STOP = rf"(?!(?i:{_join(NOT_NAMES)}|{LEADS}|{PHONE_WORDS}|e?-?mail|{_join(ROLES)}|{_join(CLOSINGS)}|{TITLES})(?![\w'’]))"
 _ONE = rf"(?:(?:Mc|Mac|O['’]|D['’])?[{UP}][{LOW}'’]+|[{UP}]{{2,}})"
 _NAME_WORD = rf"{_STOP}{_ONE}(?:-{_ONE})*(?![\w@])"
 _NAME = re.compile(rf"(?<![\w@.-])(?:{_NAME_WORD}(?:\ [{UP}]\.)*(?:\ (?:(?:von|van)(?:\ de[rn]?)?|de(?:\ la)?|del|della|di|da))?\ {_NAME_WORD}|(?:[{UP}]\.\ ?)+{_NAME_WORD}|{_NAME_WORD},\ {_NAME_WORD}(?:\ [{UP}]\.)*)")
