@@ -7,6 +7,8 @@ taken away, and carried once at the end. A group of any size costs twelve intege
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,26 +84,41 @@ def minus_text(a: Column, b: Column) -> Column:
     return render([x - y for x, y in zip(limbs(a), limbs(b), strict=True)])
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def from_bytes(data: Column, start: int, length: int = 32, signed: bool = False) -> Column:
     """Decimal text of a big-endian integer of up to 32 bytes at a 1-based place of a binary value.
 
-    The number is a sum of 32-bit words times powers of 2; the powers are constants split into limbs, so every limb is
-    one linear form below 63 bits and a single carry follows. ``signed`` reads two's complement of that length. Null
-    where the value is shorter than asked.
+    The number is extended to 256 bits by its sign. What fits in 64 bits is read as one machine word. Any other is a sum
+    of 32-bit words times powers of 2; the powers are constants split into limbs, so every limb is one linear form below
+    63 bits and a single carry follows, words and limbs being computed once each. ``signed`` reads two's complement of
+    that length. Null where the value is shorter than asked.
     """
     part = F.substring(data, start, length)
-    digits = F.lpad(F.hex(part), 64, "0")
-    words = [F.conv(F.substring(digits, 64 - 8 * i - 7, 8), 16, 10).cast("bigint") for i in range(8)]
-    negative = F.substring(F.hex(part), 1, 1).isin(*"89ABCDEF")
-    sums = []
-    for j in range(LIMBS):
-        limb = lambda n, j=j: n // _BASE**j % _BASE
-        total = F.lit(0).cast("bigint")
-        for i, w in enumerate(words):
-            if f := limb(2 ** (32 * i)):
-                total = total + w * F.lit(f).cast("bigint")
-        sums.append(total - F.when(negative, limb(2 ** (8 * length))).otherwise(0).cast("bigint") if signed else total)
-    return F.when(F.length(part) == length, render(sums))
+    raw = F.hex(part)
+    fill = F.when(F.substring(raw, 1, 1) >= "8", "F").otherwise("0") if signed else F.lit("0")
+    digits = F.lpad(raw, 64, fill)
+    low = F.substring(digits, 49, 16)
+    above = F.when(F.substring(low, 1, 1) >= "8", "F" * 48).otherwise("0" * 48) if signed else F.lit("0" * 48)
+    words = F.array(*[F.conv(F.substring(digits, 64 - 8 * i - 7, 8), 16, 10).cast("bigint") for i in range(8)])
+
+    def limbs_of_words(w: Column) -> Column:
+        sums = []
+        for j in range(LIMBS):
+            limb = lambda n, j=j: n // _BASE**j % _BASE
+            total = F.lit(0).cast("bigint")
+            for i in range(8):
+                if f := limb(2 ** (32 * i)):
+                    total = total + w[i] * F.lit(f).cast("bigint")
+            sums.append(total - F.when(w[7] >= 2**31, limb(2**256)).otherwise(0).cast("bigint") if signed else total)
+        return F.array(*sums)
+
+    wide = _once(words, lambda w: _once(limbs_of_words(w), lambda s: render([s[j] for j in range(LIMBS)])))
+    text = F.when(F.substring(digits, 1, 48) == above, F.conv(low, 16, -10 if signed else 10)).otherwise(wide)
+    return F.when(F.length(part) == length, text)
 
 
 def as_double(text: Column, decimals: Column | int = 0) -> Column:

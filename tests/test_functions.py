@@ -29,6 +29,19 @@ def test_words_of_bytes(spark):
     assert [r[0] for r in df.select(uint256.from_bytes(F.col("b"), 1)).collect()] == [*map(str, values), None, None]
 
 
+@pytest.mark.parametrize("signed", [False, True])
+def test_words_on_both_sides_of_64_bits_are_read_once(spark, signed):
+    """Right where the reading as one machine word ends, and each 32-bit word is converted once a number, not once a limb."""
+    near = {s * (2**k + d) for k in (31, 32, 63, 64, 127, 128, 255) for d in (-1, 0, 1) for s in (1, -1)}
+    for length in (1, 7, 8, 9, 20, 32):
+        least, most = (-(2 ** (8 * length - 1)), 2 ** (8 * length - 1) - 1) if signed else (0, 2 ** (8 * length) - 1)
+        values = sorted({v for v in near | {0, least, most} if least <= v <= most})
+        df = spark.createDataFrame([(bytearray(b"\7" + v.to_bytes(length, "big", signed=signed) + b"\x99"),) for v in values], "b binary")
+        assert [r[0] for r in df.select(uint256.from_bytes(F.col("b"), 2, length, signed)).collect()] == [*map(str, values)], length
+    plan = df.select(uint256.from_bytes(F.col("b"), 2, 32, signed).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("conv(") <= 9
+
+
 @pytest.mark.parametrize(
     ("kind", "cases"),
     [
