@@ -28,12 +28,19 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 def heavy_keys(df: DataFrame, key: str, share: int = 25) -> DataFrame:
     """Keys that hold at least one row in ``share`` of all rows (repeated rows counted); at most ``share`` keys.
 
-    An empty table has none. The number of rows comes from the file footers, not from a scan of the data.
+    Such a key fills so many places in the order of the keys' hashes that one of ``2 * share`` evenly spaced ranks falls
+    on it (twice as many as needed, so that no rounding of a rank passes one by). :func:`quantiles` selects these ranks,
+    and only keys found there are counted row by row; the counts decide, so keys that share a hash are told apart. Null
+    keys count as rows. An empty table has none. The number of rows comes from the file footers, not from a scan.
     """
-    return key_counts(df, key).where(F.col("n_rows") * share >= F.lit(df.count()))
+    code = F.shiftrightunsigned(F.xxhash64(key), 12).cast("double").alias("code")  # 52 bits, exact as a double
+    coded = df.select(F.col(key).alias("key_value"), code, F.lit(0).alias("all")).dropna(subset=["key_value"])
+    marks = quantiles(coded, "all", "code", [i / (2 * share) for i in range(1, 2 * share + 1)]).select(F.col("quantile").alias("code")).distinct()
+    rows = coded.join(F.broadcast(marks), "code", "left_semi")
+    return key_counts(rows, "key_value").where(F.col("n_rows") * share >= F.lit(df.count()))
 
 
-def quantiles(df: DataFrame, key: str, value: str, probs: Sequence[float], share: int | None = None) -> DataFrame:
+def quantiles(df: DataFrame, key: str, value: str, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles of ``value`` per ``key``: columns key_value, prob, n_rows, quantile.
 
     The quantile is the smallest value whose cumulative count reaches ``prob`` of the key's non-null values (rank at
@@ -43,13 +50,10 @@ def quantiles(df: DataFrame, key: str, value: str, probs: Sequence[float], share
     one bin per value), the bin that holds a rank becomes its next interval, with its edges shrunk to the least and
     greatest value seen, and only what lies inside is kept for the next round. Ties never stop it, and the values of a
     key are never gathered. Null keys and null or NaN values are left out; an empty table gives no rows; a key without
-    values gives no row. With ``share`` only keys with at least one in ``share`` of all rows (:func:`heavy_keys`, at
-    most ``share`` keys, hence broadcast) are refined.
+    values gives no row.
     """
     v = F.col(value).cast("double")
     rows = df.select(F.col(key).alias("key_value"), v.alias("v")).where(F.col("key_value").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v"))
-    if share is not None:
-        rows = rows.join(F.broadcast(heavy_keys(df, key, share).select("key_value")), "key_value", "left_semi")
     counts = cut(rows.groupBy("key_value", "v").agg(F.count("*").alias("n")))
     keys = cut(counts.groupBy("key_value").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_values"), F.min("v").alias("lo"), F.max("v").alias("hi")))
     hot = hot_keys(keys, ["key_value"], "n_values")

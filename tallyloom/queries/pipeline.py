@@ -35,11 +35,10 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """Keys with at least 4 % of all rows: those whose median day the selection operator finds among the heavy keys."""
-    day = lambda c: F.coalesce(F.floor(F.unix_micros(c) / 86_400_000_000), F.lit(0)).alias("day")
-    trades = table(spark, d, "trades").select(address("token_address").alias("k"), day("block_time"))
-    tokens = table(spark, d, "tokens").select(F.col("chain_id").cast("string").alias("k"), day("ingested_at"))
-    parts = [heavykeys.quantiles(df, "k", "day", (0.5,), share=25).select(F.lit(name).alias("source_table"), "key_value") for name, df in (("trades", trades), ("tokens", tokens))]
+    """Keys with at least 4 % of all rows, counted among those on which the selection operator's ranks fall."""
+    trades = table(spark, d, "trades").select(address("token_address").alias("k"))
+    tokens = table(spark, d, "tokens").select(F.col("chain_id").cast("string").alias("k"))
+    parts = [heavykeys.heavy_keys(df, "k").select(F.lit(name).alias("source_table"), "key_value") for name, df in (("trades", trades), ("tokens", tokens))]
     return parts[0].unionByName(parts[1])
 
 

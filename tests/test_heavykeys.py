@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +41,27 @@ def test_shares_count_nulls_as_rows(spark):
     assert [(r.key_value, r.n_rows) for r in heavykeys.heavy_keys(df, "k").collect()] == [("a", 4)]
 
 
+def test_heavy_keys_against_counting(spark, monkeypatch):
+    monkeypatch.setattr(heavykeys, "FEW", 6)
+    monkeypatch.setattr(heavykeys, "BINS", 4)
+    rng = random.Random(7)
+    even = [f"k{i % 25}" for i in range(100)]  # every key holds one row in 25 exactly
+    mixed = [f"h{i % 5}" for i in range(150)] + [f"l{rng.randrange(400)}" for _ in range(500)] + [None] * 40 + ["edge"] * 29  # 719 rows, a key needs 29
+    for data in (even, mixed, ["one"], [None, None]):
+        want = {(k, n) for k, n in Counter(data).items() if k is not None and n * 25 >= len(data)}
+        df = spark.createDataFrame([(k,) for k in data], "k string")
+        assert {(r.key_value, r.n_rows) for r in heavykeys.heavy_keys(df, "k").collect()} == want
+
+
+@pytest.mark.skipif(not TABLES.exists(), reason="no tables")
+def test_heavy_keys_follow_from_the_selected_ranks(spark, monkeypatch):
+    """What the refinement selects decides which keys come out: with ranks that fall on no key there are none."""
+    select = heavykeys.quantiles
+    assert pipeline.p3_found(spark, str(TABLES)).count() > 0
+    monkeypatch.setattr(heavykeys, "quantiles", lambda *a, **k: select(*a, **k).withColumn("quantile", F.lit(-1.0)))
+    assert pipeline.p3_found(spark, str(TABLES)).count() == 0
+
+
 @pytest.mark.skipif(not TABLES.exists(), reason="no tables")
 def test_every_chain_passes_the_refinement(spark, monkeypatch):
     monkeypatch.setattr(heavykeys, "FEW", 3)
