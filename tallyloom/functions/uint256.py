@@ -92,17 +92,21 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 def from_bytes(data: Column, start: int, length: int = 32, signed: bool = False) -> Column:
     """Decimal text of a big-endian integer of up to 32 bytes at a 1-based place of a binary value.
 
-    The number is extended to 256 bits by its sign. What fits in 64 bits is read as one machine word. Any other is a sum
-    of 32-bit words times powers of 2; the powers are constants split into limbs, so every limb is one linear form below
-    63 bits and a single carry follows, words and limbs being computed once each. ``signed`` reads two's complement of
-    that length. Null where the value is shorter than asked.
+    What fits in 64 bits is read as one machine word. Any other is extended to 256 bits by its sign and is a sum of
+    32-bit words times powers of 2; the powers are constants split into limbs, so every limb is one linear form below 63
+    bits and a single carry follows, words and limbs being computed once each. ``signed`` reads two's complement of that
+    length. Null where the value is shorter than asked.
     """
     part = F.substring(data, start, length)
-    raw = F.hex(part)
-    fill = F.when(F.substring(raw, 1, 1) >= "8", "F").otherwise("0") if signed else F.lit("0")
-    digits = F.lpad(raw, 64, fill)
-    low = F.substring(digits, 49, 16)
-    above = F.when(F.substring(low, 1, 1) >= "8", "F" * 48).otherwise("0" * 48) if signed else F.lit("0" * 48)
+    fill = F.when(F.substring(part, 1, 1) >= F.lit(b"\x80"), "F").otherwise("0") if signed else F.lit("0")
+    if length > 8:  # bytes are cut and compared before anything becomes text
+        low, above = F.substring(part, length - 7, 8), F.substring(part, 1, length - 8)
+        zeros, ones, half = F.lit(bytes(length - 8)), F.lit(b"\xff" * (length - 8)), F.lit(b"\x80" + bytes(7))
+        short = (above == zeros) & (low < half) | (above == ones) & (low >= half) if signed else above == zeros
+        word = F.hex(low)
+    else:
+        short, word = F.lit(True), F.lpad(F.hex(part), 16, fill)
+    digits = F.lpad(F.hex(part), 64, fill)
     words = F.array(*[F.conv(F.substring(digits, 64 - 8 * i - 7, 8), 16, 10).cast("bigint") for i in range(8)])
 
     def limbs_of_words(w: Column) -> Column:
@@ -117,7 +121,7 @@ def from_bytes(data: Column, start: int, length: int = 32, signed: bool = False)
         return F.array(*sums)
 
     wide = _once(words, lambda w: _once(limbs_of_words(w), lambda s: render([s[j] for j in range(LIMBS)])))
-    text = F.when(F.substring(digits, 1, 48) == above, F.conv(low, 16, -10 if signed else 10)).otherwise(wide)
+    text = F.when(short, F.conv(word, 16, -10 if signed else 10)).otherwise(wide)
     return F.when(F.length(part) == length, text)
 
 
